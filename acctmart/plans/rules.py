@@ -51,21 +51,20 @@ def is_interest_only(method: Column) -> Column:
 
 
 def interest_only_end(
-    option: Column,
-    projected_end: Column,
-    product: Column,
-    method: Column,
-    fixed_until: Column,
-    maturity: Column,
+    product: Column, method: Column, fixed_until: Column, maturity: Column
 ) -> Column:
-    """End of the interest-only time: the arrangement's end, the fixed rate's, or maturity."""
-    return (
-        F.when(option == ARA_INTEREST_ONLY, iso_date(projected_end))
-        .when(is_fixed_rate(product) & is_interest_only(method), iso_date(fixed_until))
-        .when(is_interest_only(method), iso_date(maturity))
+    """End of the interest-only time: that of the fixed rate, else maturity."""
+    return F.when(
+        is_interest_only(method),
+        F.when(is_fixed_rate(product), iso_date(fixed_until)).otherwise(iso_date(maturity)),
     )
 
 
+def arranged_end(option: Column, arranged: Column, otherwise: Column) -> Column:
+    """The end of an interest-only arrangement, where the newest one is of that kind."""
+    return F.when(option == ARA_INTEREST_ONLY, arranged).otherwise(otherwise)
+
+
 def marp_date(marp_type: Column, changed_on: Column) -> Column:
     """Date of the newest entry if it is a current or an exit entry.
 

@@ -609,13 +609,15 @@ def interest_only_end(spark, sf):
     joined = attach(attach(attach(loans, info, "CaseID"), rates, "CaseID"), ara, "CaseID")
     return joined.select(
         F.col("CaseID").alias("case_id"),
-        rules.interest_only_end(
+        rules.arranged_end(
             F.col("DSTResolutionOptionID"),
-            F.col("ProjectedEndDate"),
-            F.col("ProductType"),
-            F.col("Repayment method"),
-            F.col("Period 1 end"),
-            F.col("MaturityDate"),
+            iso_date("ProjectedEndDate"),
+            rules.interest_only_end(
+                F.col("ProductType"),
+                F.col("Repayment method"),
+                F.col("Period 1 end"),
+                F.col("MaturityDate"),
+            ),
         ).alias("interest_only_until"),
         rules.rate_kind(F.col("ProductType")).alias("fix_floating"),
     )

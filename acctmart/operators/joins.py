@@ -75,14 +75,14 @@ def _row_bytes(df: DataFrame) -> Column:
 def fits_broadcast(
     *dfs: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> list[bool]:
-    """Whether each frame is small enough to broadcast, measured in one small job.
+    """Whether each frame is small enough to broadcast, measured in one job.
 
-    At most ``max_rows + 1`` rows of a frame are looked at, and only sums come back.
+    Tasks sum up their own rows, so that a frame that is not small costs one scan
+    and no more; only the sums come to the driver.
     """
     probes = [
-        df.limit(max_rows + 1)
-        .select(_row_bytes(df).alias("b"))
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"))
+        df.select(_row_bytes(df).alias("b"))
+        .agg(F.count("b").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"))
         .select(F.lit(i).alias("i"), "n", "b")
         for i, df in enumerate(dfs)
     ]

@@ -226,7 +226,7 @@ SELECT c_custkey, coalesce(n, 0) AS open_orders,
 FROM customer LEFT JOIN counts ON o_custkey = c_custkey
 """
 
-ORACLES["month_pivot"] = f"""
+ORACLES["month_offset_pivot"] = f"""
 SELECT o_custkey,
        {month_columns("CAST(o_totalprice AS DECIMAL(18,2))", "o_orderdate", range(3, 13),
                       "total_", "sum")}
@@ -235,7 +235,7 @@ WHERE datediff('month', CAST(o_orderdate AS DATE), {AS_OF}) BETWEEN 3 AND 12
 GROUP BY o_custkey
 """
 
-ORACLES["month_pivot_largest"] = f"""
+ORACLES["month_offset_pivot_largest"] = f"""
 SELECT l_orderkey,
        {month_columns("CAST(l_extendedprice AS DECIMAL(18,2))", "l_shipdate", (0, 1, 6), "price_")}
 FROM lineitem
@@ -300,7 +300,7 @@ SELECT "CaseID" AS case_id, "BIC", "SortCode" AS branch, "IBAN" FROM ({ACTIVE_MA
 ACC_NO = """'000000' || coalesce(c."AccountNumber", '') || coalesce(lpad(
          substr(c."CaseReference", strpos(c."CaseReference", '-') + 1, 2), 2, '0'), '')"""
 
-ORACLES["account_numbers"] = over_book("Case_TBL") + f"""
+ORACLES["account_number"] = over_book("Case_TBL") + f"""
 SELECT c."CaseID" AS case_id, {ACC_NO} AS acc_no FROM "Case_TBL" c
 """
 

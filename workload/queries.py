@@ -55,12 +55,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    """Register a query under its function name, with plain result types."""
+    """Register a query under its function name (less ``_query``), with plain result types."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plain(fn(spark, sf_dir))
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.removesuffix("_query")] = run
     return run
 
 
@@ -139,7 +139,7 @@ def customer_latest_order_wide(spark, sf):
     )
     customers = attach_dimension(customers, nation, "c_nationkey")
     customers = attach_dimension(customers, region, "n_regionkey")
-    return attach(customers, newest, "c_custkey", expect_unique=True).select(
+    return attach(customers, newest, "c_custkey").select(
         "c_custkey", "c_name", "c_mktsegment", "n_name", "r_name",
         "o_orderkey", "o_totalprice", "o_orderstatus",
     )
@@ -353,7 +353,7 @@ def open_latest_line_flag(spark, sf):
 
 
 @query
-def month_pivot(spark, sf):
+def month_offset_pivot_query(spark, sf):
     """Order totals per customer and month, 3 to 12 months before the as-of date."""
     monthly = (
         table(spark, sf, "orders")
@@ -366,7 +366,7 @@ def month_pivot(spark, sf):
 
 
 @query
-def month_pivot_largest(spark, sf):
+def month_offset_pivot_largest(spark, sf):
     """Largest line per order in single months, where several rows share a month."""
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_shipdate", F.col("l_extendedprice").cast("decimal(18,2)").alias("price")
@@ -451,7 +451,7 @@ def direct_debit_details(spark, sf):
 
 
 @query
-def account_numbers(spark, sf):
+def account_number_query(spark, sf):
     cases = book_table(spark, sf, "Case_TBL")
     return cases.select(
         F.col("CaseID").alias("case_id"),

@@ -44,8 +44,8 @@ def save_bucketed(
 ) -> None:
     """Store a table bucketed and sorted on its key, for joins on it without a shuffle.
 
-    Pays off for tables that many extracts read. All tables of a join chain need
-    the same number of buckets.
+    Pays off for tables that many extracts read and in which no key holds many rows: all rows
+    of a key share a bucket. All tables of a join chain need the same number of buckets.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     (

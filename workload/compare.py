@@ -17,6 +17,7 @@ def connect(sf_dir: str):
     con = duckdb.connect()
     for name in TABLES:
         path = os.path.join(sf_dir, f"{name}.parquet")
+        path = os.path.join(path, "*.parquet") if os.path.isdir(path) else path
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
     return con
 

@@ -4,6 +4,7 @@ from acctmart.operators import (
     any_per_key,
     attach,
     attach_dimension,
+    attach_fan_out,
     attach_spread,
     count_related,
     first_last_dates,
@@ -22,6 +23,7 @@ __all__ = [
     "any_per_key",
     "attach",
     "attach_dimension",
+    "attach_fan_out",
     "attach_spread",
     "build_extract",
     "count_related",

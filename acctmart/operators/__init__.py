@@ -11,6 +11,7 @@ from acctmart.operators.joins import (
     assert_unique,
     attach,
     attach_dimension,
+    attach_fan_out,
     attach_spread,
     fits_broadcast,
 )
@@ -22,6 +23,7 @@ __all__ = [
     "assert_unique",
     "attach",
     "attach_dimension",
+    "attach_fan_out",
     "attach_spread",
     "count_related",
     "first_last_dates",

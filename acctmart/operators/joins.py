@@ -7,6 +7,7 @@ Which one to take:
 * :func:`attach_dimension` -- a code table. Broadcast if a look at the table
   shows that it is small, else :func:`attach_spread`.
 * :func:`attach_spread` -- a large lookup over a key that many left rows may share.
+* :func:`attach_fan_out` -- a left join to a table in which one key may have very many rows.
 """
 
 from __future__ import annotations
@@ -112,7 +113,9 @@ def attach_dimension(
 def attach_spread(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Join where many left rows may share a key or have none (``left``, ``inner``, ``left_semi``).
+    """Join where many left rows may share a key or have none.
+
+    For ``left``, ``inner``, ``left_semi`` and ``left_anti``.
 
     Left rows with a NULL key match nothing, but would all hash to one task: a
     salt taken from the row spreads them. The salt, constant for real keys, is
@@ -127,3 +130,28 @@ def attach_spread(
     # no row has a NULL key and salt 0, so right rows with a NULL key match nothing
     plain = right.withColumn(_SALT, F.when(unknown, -1).otherwise(0))
     return salted.join(plain, keys + [_SALT], how).drop(_SALT)
+
+
+def attach_fan_out(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str],
+    left_keys: DataFrame | None = None,
+    keep_unkeyed: bool = True,
+) -> DataFrame:
+    """Left join where a key may have very many right rows, copies of one another included.
+
+    Adaptive execution cannot split the right side of an outer join. So ``right`` first gets
+    an empty row for every left key that it lacks; then an inner join does the same, and there
+    either side can be split. ``left_keys`` is a frame with (at least) the left keys, if it can be
+    had for less than ``left`` itself; ``keep_unkeyed=False`` says that no left key is NULL.
+    """
+    keys = as_list(on)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    wanted = (left if left_keys is None else left_keys).select(*keys).where(known).distinct()
+    lacking = attach(wanted, right.select(*keys).distinct(), keys, "left_anti")
+    padded = right.unionByName(lacking, allowMissingColumns=True)
+    joined = attach_spread(left, padded, keys, "inner")
+    if not keep_unkeyed:
+        return joined
+    return joined.unionByName(left.where(~known), allowMissingColumns=True)

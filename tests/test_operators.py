@@ -130,6 +130,27 @@ def test_attach_spread(spark, how):
     assert Counter(map(tuple, got)) == want
 
 
+@pytest.mark.parametrize("with_keys", [False, True])
+def test_attach_fan_out(spark, with_keys):
+    rnd = random.Random(4)
+    left = [(i % 60, i) for i in range(90)] + [(None, -1), (None, -2)]
+    right = [(7, "copy")] * 300 + [(rnd.randrange(50), f"v{i % 9}") for i in range(200)]
+    right += [(None, "x"), (99, "y")]
+    a = spark.createDataFrame(left, "k int, id int").repartition(3)
+    b = spark.createDataFrame(right, "k int, v string").repartition(4)
+    rows = defaultdict(list)
+    for k, v in right:
+        rows[k].append(v)
+    want = Counter(
+        (k, i, v) for k, i in left for v in ((rows.get(k) or [None]) if k is not None else [None])
+    )
+    got = am.attach_fan_out(a, b, "k", left_keys=a.select("k") if with_keys else None)
+    assert got.columns == ["k", "id", "v"]
+    assert Counter(map(tuple, got.collect())) == want
+    known = am.attach_fan_out(a.where("k IS NOT NULL"), b, "k", keep_unkeyed=False).collect()
+    assert Counter(map(tuple, known)) == Counter({r: n for r, n in want.items() if r[0] is not None})
+
+
 def test_dimension_beyond_the_limit_gives_the_same(spark):
     left = spark.range(500).select("id", (F.col("id") % 9).alias("k"))
     dim = spark.range(7).select(F.col("id").alias("k"), F.col("id").cast("string").alias("n"))

@@ -172,6 +172,25 @@ def test_hot_keys_are_split(spark, conf):
     assert "skew=true" in executed_plan(plan)
 
 
+def test_hot_right_key_is_split(spark, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="40",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="50KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="50KB",
+    )
+    n = 300_000
+    cases = spark.range(0, 2000, 1, 4).select(F.col("id").alias("k"))
+    rows = hot_frame(spark, n).where("k IS NOT NULL")
+    joined = am.attach_fan_out(cases, rows, "k").withColumn("p", F.spark_partition_id())
+    by_task = joined.groupBy("p").agg(F.count(F.lit(1)), F.max(F.xxhash64("id", "k")))
+    sizes = [r[1] for r in by_task.collect()]
+    assert sum(sizes) == rows.count() + 2000 - rows.select("k").distinct().count()
+    assert max(sizes) < n / 6
+
+
 def test_hot_key_leaves_few_rows_to_shuffle(spark, static):
     """A key with a third of the rows brings one row per task into the final window."""
     df = hot_frame(spark, 30_000).withColumn("d", F.col("id") % 50)

@@ -108,6 +108,11 @@ SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id,
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 """
 
+ORACLES["order_line_outer"] = """
+SELECT o_orderkey, o_custkey, l_partkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_quantity > 40
+"""
+
 ORACLES["reference_join"] = over_book("Case_TBL", "Loan Details") + """
 , parts AS (
   SELECT "CaseID", "Original Reference" AS reference,
@@ -560,7 +565,14 @@ ORACLES["loan_book_inputs"] = over_book(*BOOK) + "\nUNION ALL\n".join(
 )
 
 
-def _extract(as_of: str) -> str:
+RATE_PER_LINE = """
+  SELECT l_orderkey AS "CaseID", l_linenumber % 6 AS "IndexID",
+         CAST(l_shipdate AS DATE) AS "Period 1 end"
+  FROM lineitem
+"""
+
+
+def _extract(as_of: str, rates: str = 'SELECT * FROM "Rate_TBL"') -> str:
     history = ",\n       ".join(f'ph."PMT_HIS_{k}"' for k in range(3, 13))
     return over_book(*[n for n in BOOK if n != "MissedOrLatePayments"]) + f"""
 , names AS ({NAMES}), recoded AS ({RECODED}),
@@ -653,7 +665,7 @@ LEFT JOIN residency ON residency."CaseID" = c."CaseID"
 LEFT JOIN origin ON origin."CaseID" = c."CaseID"
 LEFT JOIN "CaseInformation" i ON i."CaseID" = c."CaseID"
 LEFT JOIN balance ON balance."CaseID" = c."CaseID"
-LEFT JOIN "Rate_TBL" r ON r."CaseID" = c."CaseID"
+LEFT JOIN ({rates}) r ON r."CaseID" = c."CaseID"
 LEFT JOIN "Index_TBL" x ON x."IndexID" = r."IndexID"
 LEFT JOIN cms ON cms."CaseID" = c."CaseID"
 LEFT JOIN ara a ON a."CaseID" = c."CaseID"
@@ -674,3 +686,4 @@ ORDER BY "ACC_NO"
 
 ORACLES["account_extract"] = _extract(AS_OF)
 ORACLES["account_extract_mid_month"] = _extract(AS_OF_SHORT)
+ORACLES["account_extract_repeated_cases"] = _extract(AS_OF, RATE_PER_LINE)

@@ -10,6 +10,7 @@ from acctmart import (
     any_per_key,
     attach,
     attach_dimension,
+    attach_fan_out,
     attach_spread,
     build_extract,
     count_related,
@@ -175,6 +176,19 @@ def order_line_inner(spark, sf):
     )
 
 
+@query
+def order_line_outer(spark, sf):
+    """All orders with their lines of quantity above 40, one row per line."""
+    lines = table(spark, sf, "lineitem").where(F.col("l_quantity") > 40)
+    return attach_fan_out(
+        table(spark, sf, "orders").select("o_orderkey", "o_custkey"),
+        lines.select(
+            F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_linenumber", "l_quantity"
+        ),
+        "o_orderkey",
+    )
+
+
 @query
 def reference_join(spark, sf):
     loan, sub = split_reference("Original Reference")
@@ -743,6 +757,17 @@ def account_extract(spark, sf):
     return build_extract(loan_book(spark, sf), AS_OF)
 
 
+@query
+def account_extract_repeated_cases(spark, sf):
+    """The extract where cases have one rate row per line of their order."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("CaseID"),
+        (F.col("l_linenumber") % 6).cast("int").alias("IndexID"),
+        F.to_date("l_shipdate").alias("Period 1 end"),
+    )
+    return build_extract({**loan_book(spark, sf), "Rate_TBL": lines}, AS_OF, repeated_cases=True)
+
+
 @query
 def account_extract_mid_month(spark, sf):
     return build_extract(loan_book(spark, sf), AS_OF_SHORT)

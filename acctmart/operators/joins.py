@@ -125,7 +125,10 @@ def attach_spread(
     """
     keys = as_list(on)
     unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    spread = F.pmod(F.xxhash64(*[c for c in left.columns]), F.lit(1024)).cast("int") + 1
+    if how in ("inner", "left_semi"):
+        spread = F.lit(1)  # rows without a key are dropped before the shuffle
+    else:
+        spread = F.pmod(F.xxhash64(*left.columns), F.lit(1024)).cast("int") + 1
     salted = left.withColumn(_SALT, F.when(unknown, spread).otherwise(0))
     # no row has a NULL key and salt 0, so right rows with a NULL key match nothing
     plain = right.withColumn(_SALT, F.when(unknown, -1).otherwise(0))

@@ -41,3 +41,44 @@ def words(text: Column) -> Column:
     """The words of a text; none for null."""
     body = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, r"[\x20\x09-\x0D]+"))
+
+
+#: Rows that a Python task turns into Python values at once; texts may be long.
+SLICE_ROWS = 256
+
+
+def add_columns(
+    df: DataFrame,
+    inputs: list[str],
+    added: str,
+    make: Callable[[], Callable[..., list]],
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """``df`` with columns computed in Arrow batches, a bounded slice of rows at a time.
+
+    ``make()`` is called once per task and returns a function from lists of values (one per column
+    of ``inputs``) to lists of values (one per column of the DDL string ``added``). ``keep`` names
+    the columns to carry along, all by default; a column with the name of an added one gives way.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    new = StructType.fromDDL(added)
+    carried = [c for c in (df.columns if keep is None else keep) if c not in new.names]
+    schema = StructType([df.schema[c] for c in carried] + new.fields)
+    arrow = to_arrow_schema(schema, timezone="UTC", prefers_large_types=False)
+    width = len(carried)
+
+    def run(batches):
+        function = make()
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                got = function(*(part.column(width + k).to_pylist() for k in range(len(inputs))))
+                made = [pa.array(v, type=arrow.field(width + k).type) for k, v in enumerate(got)]
+                yield pa.RecordBatch.from_arrays([part.column(k) for k in range(width)] + made, schema=arrow)
+
+    # the inputs go by place, so that no name can clash
+    sent = [F.col(f"`{c}`") for c in carried] + [F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(inputs)]
+    return df.select(*sent).mapInArrow(run, schema)

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from acctmart.llm.bpe import encode
 from acctmart.llm.common import table
 from acctmart.llm.quality import quality
+from acctmart.llm.token_counts import token_counts
 
 BASE_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -17,7 +20,32 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(docs).select(*BASE_COLUMNS, "base_failed", "kept")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts(docs, vocabulary("byte_bpe_50k.json"), keep=["doc_id"])
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = encode(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), decoded=True, keep=["doc_id"])
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_counts": op9_token_counts,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {}

@@ -67,7 +67,7 @@ def add_columns(
     new = StructType.fromDDL(added)
     carried = [c for c in (df.columns if keep is None else keep) if c not in new.names]
     schema = StructType([df.schema[c] for c in carried] + new.fields)
-    arrow = to_arrow_schema(schema, timezone="UTC", prefers_large_types=False)
+    arrow = to_arrow_schema(schema)
     width = len(carried)
 
     def run(batches):

@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 
 from acctmart.llm.bpe import encode
 from acctmart.llm.common import table
+from acctmart.llm.neardup import near_duplicates
 from acctmart.llm.quality import quality
 from acctmart.llm.token_counts import token_counts
 
 BASE_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality(docs).select(*BASE_COLUMNS, "base_failed", "kept")
@@ -44,6 +49,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,

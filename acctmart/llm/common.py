@@ -38,6 +38,13 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def meet(left: DataFrame, right: DataFrame, *on: str, how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, null equal to null; the keys stay once."""
+    named = right.select(*[F.col(f"`{c}`").alias(f"_right_{c}" if c in on else c) for c in right.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on]
+    return left.join(named, same, how).drop(*[f"_right_{c}" for c in on])
+
+
 def words(text: Column) -> Column:
     """The words of a text; none for null."""
     body = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from acctmart.llm.bpe import encode
 from acctmart.llm.common import table
+from acctmart.llm.mixing import draws
 from acctmart.llm.neardup import near_duplicates
 from acctmart.llm.quality import quality
 from acctmart.llm.token_counts import token_counts
@@ -16,6 +17,13 @@ from acctmart.llm.token_counts import token_counts
 BASE_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = draws(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return drawn.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken")
+    )
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,6 +57,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mix_sources": op2_mix_sources,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,

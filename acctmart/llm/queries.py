@@ -13,6 +13,7 @@ from acctmart.llm.mixing import draws
 from acctmart.llm.neardup import near_duplicates
 from acctmart.llm.quality import quality
 from acctmart.llm.token_counts import token_counts
+from acctmart.llm.toxicity import held_out, toxicity
 
 BASE_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -28,6 +29,12 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality(docs).select(*BASE_COLUMNS, "base_failed", "kept")
@@ -59,6 +66,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,

@@ -52,6 +52,11 @@ def words(text: Column) -> Column:
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+def find_package(df: DataFrame) -> None:
+    """Python workers on this machine find the package where the driver did; elsewhere it is installed or shipped."""
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
 #: Rows that a Python task turns into Python values at once; texts may be long.
 SLICE_ROWS = 256
 
@@ -88,8 +93,7 @@ def add_columns(
                 made = [pa.array(v, type=arrow.field(width + k).type) for k, v in enumerate(got)]
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in range(width)] + made, schema=arrow)
 
-    # Python workers on this machine find the package where the driver did; elsewhere it is installed or shipped
-    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    find_package(df)
     # the inputs go by place, so that no name can clash
     sent = [F.col(f"`{c}`") for c in carried] + [F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(inputs)]
     return df.select(*sent).mapInArrow(run, schema)

@@ -14,6 +14,7 @@ from acctmart.llm.neardup import near_duplicates
 from acctmart.llm.quality import quality
 from acctmart.llm.token_counts import token_counts
 from acctmart.llm.toxicity import held_out, toxicity
+from acctmart.llm.vectorjoin import linked_vectors
 
 BASE_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -63,9 +64,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acctmart.llm import chats
 from acctmart.llm.bpe import encode
 from acctmart.llm.common import table
 from acctmart.llm.mixing import draws
@@ -19,6 +20,10 @@ from acctmart.llm.vectorjoin import linked_vectors
 BASE_COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = draws(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return drawn.select(
@@ -69,6 +74,7 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_formatting": op1_chat_formatting,
     "op2_mix_sources": op2_mix_sources,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
@@ -77,4 +83,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_chat_formatting": chats.ORACLE}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from acctmart.llm import chats
 from acctmart.llm.bpe import encode
 from acctmart.llm.common import table
+from acctmart.llm.htmltext import main_text
 from acctmart.llm.licenses import license_scan
 from acctmart.llm.mixing import draws
 from acctmart.llm.neardup import near_duplicates
@@ -32,6 +33,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -81,6 +86,7 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_mix_sources": op2_mix_sources,
+    "op3_html_extraction": op3_html_extraction,
     "op4_license_scan": op4_license_scan,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,

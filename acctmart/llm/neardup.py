@@ -7,12 +7,13 @@ beyond what any register can still use are never drawn: the cost per document is
 shingles. Registers merge by maximum, and two sets agree in a register with a probability near their similarity.
 
 1. Equal sets collapse to a class with the smallest doc_id, combined before the shuffle.
-2. Bands of registers put classes into buckets. Each member of a bucket is paired with two hubs, the smallest member and
-   a random one: a number of pairs linear in the rows, whatever the size of a bucket.
+2. Bands of registers put classes into buckets. Each member of a bucket is paired with its hub, the smallest member:
+   a number of pairs linear in the rows, whatever the size of a bucket.
 3. A pair goes on unless its registers and set sizes make a similarity of the threshold or more implausible (by the ratio of likelihoods).
    What remains is verified on the full sets, and the links' components are found.
-4. In buckets that still hold several components, the members outside the largest one are paired with those of the other
-   components, estimated and verified in the same way: so every pair of a bucket is either within one component or tested.
+4. Buckets that still hold several components, and share members, make up groups. Each group is dealt into blocks, and each
+   two blocks meet in a task, which estimates and verifies in the same way the pairs that aren't in one component yet, and returns the links that join
+   components. So every pair of a bucket is either within one component or tested, and no pairs are emitted.
 
 ``BANDS`` and ``ROWS`` leave a pair at the threshold without a common bucket with probability (1 - 0.85^8)^40 < 4e-6.
 
@@ -27,6 +28,7 @@ import hashlib
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,10 @@ REGISTERS = BANDS * ROWS
 BASE, SHIFT = 1.1, 30.0
 #: A pair is given up if the likelihood of the best similarity is so many times (as a logarithm) that of the threshold.
 GIVE_UP = 16.0
+#: Registers in which a pair at the threshold agrees at least, but for a chance below 1e-9.
+LEAST_SAME = math.floor(REGISTERS * PERCENT / 100 - 6.5 * math.sqrt(REGISTERS * PERCENT / 100 * (1 - PERCENT / 100)))
+#: Classes, and bytes of their texts, in a block of a group.
+GROUP_ROWS, GROUP_BYTES = 512, 4_000_000
 #: Word hashes that a task remembers.
 WORD_ENTRIES = 400_000
 
@@ -78,6 +84,12 @@ def shingle_set(text: str | None, memo: Memo) -> np.ndarray:
     return np.unique(mixed(total))
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two full sets are as similar as a link needs."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 0 < 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 def registers(sets: list[np.ndarray]) -> np.ndarray:
     """The registers of some non-empty sets, one row each."""
     m = REGISTERS
@@ -215,21 +227,15 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         last: dict[str, tuple] = {"t": ("", np.empty(0, np.uint64))}
 
         def linked(t_a, t_b):
-            if last["t"][0] != t_b:
-                last["t"] = (t_b, shingle_set(t_b, memo))
-            x, y = shingle_set(t_a, memo), last["t"][1]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            return 0 < 100 * both >= PERCENT * (len(x) + len(y) - both)
+            if last["t"][0] != t_a:
+                last["t"] = (t_a, shingle_set(t_a, memo))
+            return similar(last["t"][1], shingle_set(t_b, memo))
 
         return lambda t_a, t_b: ([linked(x, y) for x, y in zip(t_a, t_b)],)
 
     return add_columns(joined, ["t_a", "t_b"], "linked boolean", make, ["a", "b"]).filter("linked").select("a", "b")
 
 
-def _ordered(x: str, y: str) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-
 def _bands(classes: DataFrame) -> DataFrame:
     """A row (band, rep) for each band of each class, the band's registers hashed with its number."""
     keys = F.transform(
@@ -239,14 +245,86 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("rep", F.explode(keys).alias("band"))
 
 
+def _open_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between different components in one or two blocks of a group; no more than connect them."""
+    rows = rows.reset_index(drop=True)
+    first = np.flatnonzero(rows["block"] == rows["lo"])
+    other = first if (rows["lo"] == rows["hi"]).all() else np.flatnonzero(rows["block"] != rows["lo"])
+    own = np.frombuffer(b"".join(rows["registers"]), np.uint8).reshape(len(rows), -1)
+    sizes = rows["n_shingles"].to_numpy(float)
+    reps, places = rows["rep"].to_numpy(), rows["component"].to_numpy()
+    lead: dict[int, int] = {}
+    memo, sets = word_hashes(), {}
+
+    def root(x: int) -> int:
+        while lead.setdefault(x, x) != x:
+            lead[x] = lead[lead[x]]
+            x = lead[x]
+        return x
+
+    def full(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_set(rows["text"][i], memo)
+        return sets[i]
+
+    found = []
+    for start in range(0, len(first), 32):
+        some = first[start : start + 32]
+        # a pair at the threshold agrees in fewer registers with a chance below 1e-9
+        same = (own[some][:, None, :] == own[other][None, :, :]).sum(axis=2)
+        i, j = np.nonzero((same >= LEAST_SAME) & (places[some][:, None] != places[other][None, :]))
+        i, j = some[i], other[j]
+        i, j = i[reps[i] != reps[j]], j[reps[i] != reps[j]]
+        if not len(i):
+            continue
+        go = plausible(own[i], own[j], sizes[i], sizes[j])
+        for x, y in zip(i[go].tolist(), j[go].tolist()):
+            if root(places[x]) != root(places[y]) and similar(full(x), full(y)):
+                lead[root(places[x])] = root(places[y])
+                found.append((min(reps[x], reps[y]), max(reps[x], reps[y])))
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+
+def _open_groups(members: DataFrame, placed: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that the hubs left out, between classes of buckets that hold several components.
+
+    Buckets that share a member make up a group. A group's classes are dealt into blocks of bounded rows and bytes, and each two blocks meet
+    in one task. So a group of any size is tested, whole, in bounded tasks, and each returns only links that join components.
+    """
+    several = (
+        placed.groupBy("band")
+        .agg(F.min("component").alias("low_component"), F.max("component").alias("high_component"))
+        .filter("low_component <> high_component")
+        .select("band")
+    )
+    edges = members.join(several, "band").filter("rep <> low").select("rep", "low").distinct()
+    groups = cut(components(edges)).toDF("rep", "group")
+    rows = (
+        groups.join(classes.select("rep", "n_shingles", "registers"), "rep")
+        .join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+        .join(placed.select("rep", "component").distinct(), "rep")
+    )
+    blocks = (
+        groups.join(texts.select(F.col("doc_id").alias("rep"), F.octet_length("text").alias("bytes")), "rep")
+        .groupBy("group")
+        .agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+        .select("group", F.greatest(F.ceil(F.col("n") / GROUP_ROWS), F.ceil(F.col("bytes") / GROUP_BYTES), F.lit(1)).cast("int").alias("n_blocks"))
+    )
+    dealt = rows.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    met = met.select(
+        "group", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        "rep", "component", "n_shingles", "registers", "text",
+    )
+    return met.groupBy("group", "lo", "hi").applyInPandas(_open_links, "a long, b long")
+
+
 def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(id, component) of the classes that link with others."""
     banded = _bands(classes)
-    # the random hub: the member with the smallest hash under the band's own salt
-    lot = F.xxhash64("rep", "band")
     hubs = (
         banded.groupBy("band")
-        .agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.min_by("rep", lot).alias("lot"))
+        .agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
         .filter("low <> high")
         .drop("high")
     )
@@ -256,51 +334,26 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
             members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"
         )
     )
-    pairs = (
-        members.select(*_ordered("rep", "low"))
-        .union(members.select(*_ordered("rep", "lot")))
-        .filter("a <> b")
-        .distinct()
-    )
+    pairs = members.filter("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
     links = cut(_verified(_estimated(pairs, classes), texts))
     first = cut(components(links))
-    # what the hubs leave open: buckets with several components
-    placed = members.join(first.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "band", "rep", F.coalesce("component", "rep").alias("component")
-    )
-    by_component = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
-    largest = (
-        by_component.groupBy("band")
-        .agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts"))
-        .filter("parts > 1")
-    )
-    open_ = cut(placed.join(largest, "band"))
-    x = open_.filter("component <> main").select("band", F.col("rep").alias("x"), F.col("component").alias("cx"))
-    y = open_.select("band", F.col("rep").alias("y"), F.col("component").alias("cy"), "main")
-    rest = (
-        x.join(y, "band")
-        .filter("cx <> cy AND (cy = main OR x < y)")
-        .select(*_ordered("x", "y"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
+    placed = cut(
+        members.join(first.withColumnRenamed("id", "rep"), "rep", "left").select(
+            "band", "rep", F.coalesce("component", "rep").alias("component")
+        )
     )
-    more = cut(_verified(_estimated(rest, classes), texts))
+    more = cut(_open_groups(members, placed, classes, texts))
     if more.isEmpty():
         return first
     # components of components: few edges between the roots found so far
-    root = first.select(F.col("id"), F.col("component"))
     joined = (
-        more.join(root.toDF("a", "ra"), "a", "left")
-        .join(root.toDF("b", "rb"), "b", "left")
+        more.join(first.toDF("a", "ra"), "a", "left")
+        .join(first.toDF("b", "rb"), "b", "left")
         .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
     )
-    second = cut(components(joined)).toDF("root", "top")
-    ids = first.union(joined.select("a", "a").union(joined.select("b", "b")).distinct()).groupBy("id").agg(
-        F.min("component").alias("component")
-    )
-    return ids.join(second.withColumnRenamed("root", "component"), "component", "left").select(
-        "id", F.coalesce("top", "component").alias("component")
-    )
+    second = cut(components(joined)).toDF("component", "top")
+    ids = first.union(second.select("component", "component")).distinct()
+    return ids.join(second, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -10,6 +10,7 @@ from acctmart.operators import (
     first_last_dates,
     has_related,
     join_text,
+    join_texts,
     latest_per_key,
     latest_status_count,
     lookup_name,
@@ -30,6 +31,7 @@ __all__ = [
     "first_last_dates",
     "has_related",
     "join_text",
+    "join_texts",
     "latest_per_key",
     "latest_status_count",
     "load_tables",

@@ -5,6 +5,7 @@ from acctmart.operators.aggregates import (
     first_last_dates,
     has_related,
     join_text,
+    join_texts,
     month_offset_pivot,
 )
 from acctmart.operators.joins import (
@@ -30,6 +31,7 @@ __all__ = [
     "fits_broadcast",
     "has_related",
     "join_text",
+    "join_texts",
     "latest_per_key",
     "latest_status_count",
     "lookup_name",

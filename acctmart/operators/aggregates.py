@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from acctmart.functions.dates import as_date, month_boundaries, month_start
 from acctmart.functions.flags import raise_if
 from acctmart.operators.joins import attach
 from acctmart.operators.newest import as_list
 
-MAX_TEXT_BYTES = 32 * 1024 * 1024
-
-
 def first_last_dates(
     df: DataFrame,
     key: str | Sequence[str],
@@ -41,34 +38,62 @@ def join_text(
     sep: str = ",",
     *,
     order_by: Column | str | None = None,
-    max_bytes: int = MAX_TEXT_BYTES,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """One text per key of all its values, NULL values left out.
 
     Values are ordered by ``order_by`` and then by the text itself. Keys
-    with no value are absent, so that a left join gives them NULL. A text is one
-    value, held in memory as a whole: the size per key is summed first (in a
-    window that can spill), and a key above ``max_bytes`` is an error.
+    with no value are absent, so that a left join gives them NULL. A text is one value, held in
+    memory as a whole. Where ``max_bytes`` is given, the sizes are summed per key first, and a
+    key above it is an error before its text is made.
     """
     keys = as_list(key)
+    texts = join_texts(df, keys, {name: (value, sep)}, order_by=order_by)
+    if max_bytes is None:
+        return texts.where(F.col(name).isNotNull())
     text = (F.col(value) if isinstance(value, str) else value).cast("string")
-    rank = F.lit(None).cast("string") if order_by is None else order_by
-    rank = F.col(rank) if isinstance(rank, str) else rank
-    rows = df.select(*keys, text.alias("__text"), rank.alias("__rank")).where(
-        F.col("__text").isNotNull()
-    )
-    item_bytes = F.octet_length("__text").cast("long") + len(sep.encode())
-    total = F.sum(item_bytes).over(Window.partitionBy(*keys))
-    sized = rows.withColumn("__bytes", total)
+    item_bytes = F.octet_length(text).cast("long") + len(sep.encode())
     message = F.concat(
         F.lit(f"{name} is longer than {max_bytes} bytes for "),
         F.to_json(F.struct(*[F.col(k) for k in keys])),
     )
-    item = raise_if(
-        F.col("__bytes") > max_bytes, message, F.struct(F.col("__rank"), F.col("__text"))
+    sizes = df.groupBy(*keys).agg(F.sum(item_bytes).alias("__bytes"))
+    within = raise_if(F.col("__bytes") > max_bytes, message, F.lit(True))
+    # a NULL key is a key here, as in a grouping
+    checked = sizes.where(within).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    rows = df.join(checked, same).drop(*checked.columns)
+    return join_texts(rows, keys, {name: (value, sep)}, order_by=order_by).where(
+        F.col(name).isNotNull()
     )
-    items = F.sort_array(F.collect_list(item))
-    return sized.groupBy(*keys).agg(F.array_join(items["__text"], sep).alias(name))
+
+
+def join_texts(
+    df: DataFrame,
+    key: str | Sequence[str],
+    texts: Mapping[str, tuple[Column | str, str]],
+    *,
+    order_by: Column | str | None = None,
+) -> DataFrame:
+    """Several texts per key, ``{name: (value, separator)}``, in one pass and one shuffle.
+
+    Each as in :func:`join_text`; a key without a value for one of them gets NULL there.
+    """
+    keys = as_list(key)
+    rank = F.lit(None).cast("string") if order_by is None else order_by
+    rank = F.col(rank) if isinstance(rank, str) else rank
+    values = {
+        name: (F.col(value) if isinstance(value, str) else value).cast("string")
+        for name, (value, _) in texts.items()
+    }
+    rows = df.select(*keys, rank.alias("__rank"), *[v.alias(f"__{n}") for n, v in values.items()])
+
+    def joined(name: str, sep: str) -> Column:
+        item = F.when(F.col(f"__{name}").isNotNull(), F.struct("__rank", f"__{name}"))
+        items = F.sort_array(F.collect_list(item))
+        return F.when(F.size(items) > 0, F.array_join(items[f"__{name}"], sep)).alias(name)
+
+    return rows.groupBy(*keys).agg(*[joined(name, sep) for name, (_, sep) in texts.items()])
 
 
 def count_related(

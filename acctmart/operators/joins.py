@@ -16,12 +16,22 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    MapType,
+    StringType,
+    StructType,
+    UserDefinedType,
+    VariantType,
+)
 
 from acctmart.operators.newest import as_list
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 16 * 1024 * 1024
+_KEEPS_RIGHT = ("right", "right_outer", "rightouter", "full", "full_outer", "fullouter", "outer")
 _SALT = "__salt"
 _RN = "__rn"
 
@@ -37,15 +47,24 @@ def attach(
     """Join ``right`` by name. Several matches give several rows, unless ``expect_unique``."""
     keys = as_list(on)
     if expect_unique:
-        right = assert_unique(right, keys)
+        # right rows with a NULL key show up in right and full joins only
+        right = assert_unique(right, keys, keep_unkeyed=how in _KEEPS_RIGHT)
     return left.join(right, keys, how)
 
 
-def assert_unique(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def _all_known(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def assert_unique(
+    df: DataFrame, keys: str | Sequence[str], *, keep_unkeyed: bool = True
+) -> DataFrame:
     """The same rows; running it fails if a key has more than one.
 
-    Two rows per key are enough to know, so no key brings more than two from a
-    task, and the shuffle is the one that a join on ``keys`` needs anyway.
+    Rows with a NULL key match nothing and so are no duplicates: all of them are
+    passed on beside the check, or left out by ``keep_unkeyed=False`` (for a join that doesn't
+    return them). Two rows per key are enough to know, so no key brings more than two
+    from a task; without unkeyed rows, the shuffle is the one that a join on ``keys`` needs anyway.
     """
     keys = as_list(keys)
     window = Window.partitionBy(*keys).orderBy(*keys)
@@ -53,24 +72,42 @@ def assert_unique(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
         F.lit(f"more than one row for ({', '.join(keys)}) = "),
         F.to_json(F.struct(*[F.col(k) for k in keys])),
     )
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    failed = F.when((F.col(_RN) == 2) & known, F.raise_error(message).cast("boolean"))
-    # rows with a NULL key never match, so they are no duplicates: pass them on
-    return (
-        df.withColumn(_RN, F.row_number().over(window))
+    known = _all_known(keys)
+    failed = F.when(F.col(_RN) == 2, F.raise_error(message).cast("boolean"))
+    # the check fails at a second row, so leaving out third ones loses nothing
+    single = (
+        df.where(known)
+        .withColumn(_RN, F.row_number().over(window))
         .where((F.col(_RN) <= 2) & failed.otherwise(True))
         .drop(_RN)
     )
+    return single.unionByName(df.where(~known)) if keep_unkeyed else single
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    sizes = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
-        if isinstance(f.dataType, (StringType, BinaryType))
-        else F.lit(0)
-        for f in df.schema.fields
-    ]
-    return reduce(lambda a, b: a + b, sizes, F.lit(16 * len(sizes))).cast("long")
+    """About the size of a row; nested values count as long as their text."""
+
+    def size(field) -> Column:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            text = F.to_json(F.struct(F.col(f"`{field.name}`")))
+            return F.coalesce(F.octet_length(text), F.lit(0))
+        return F.lit(0)
+
+    sizes = [size(f).cast("long") for f in df.schema.fields]
+    return reduce(lambda a, b: a + b, sizes, F.lit(16 * len(sizes)).cast("long"))
+
+
+def _measurable(kind: DataType) -> bool:
+    """Whether the size of such values can be told: of all types but those without a text form."""
+    if isinstance(kind, ArrayType):
+        return _measurable(kind.elementType)
+    if isinstance(kind, MapType):
+        return _measurable(kind.keyType) and _measurable(kind.valueType)
+    if isinstance(kind, StructType):
+        return all(_measurable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (VariantType, UserDefinedType))
 
 
 def fits_broadcast(
@@ -78,6 +115,8 @@ def fits_broadcast(
 ) -> list[bool]:
     """Whether each frame is small enough to broadcast, measured in one job.
 
+    A frame with a column whose size can't be told (a variant, a user type) is not.
+
     Tasks sum up their own rows, so that a frame that is not small costs one scan
     and no more; only the sums come to the driver.
     """
@@ -88,7 +127,10 @@ def fits_broadcast(
         for i, df in enumerate(dfs)
     ]
     found = {r.i: r for r in reduce(DataFrame.union, probes).collect()}
-    return [found[i].n <= max_rows and found[i].b <= max_bytes for i in range(len(dfs))]
+    told = [all(_measurable(f.dataType) for f in df.schema.fields) for df in dfs]
+    return [
+        told[i] and found[i].n <= max_rows and found[i].b <= max_bytes for i in range(len(dfs))
+    ]
 
 
 def attach_dimension(
@@ -110,6 +152,20 @@ def attach_dimension(
     return attach_spread(left, dim, on, how)
 
 
+def _holds_map(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, (MapType, VariantType))
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of a row's values, of those columns that can be hashed."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not _holds_map(f.dataType)]
+    return F.xxhash64(*plain) if plain else F.lit(0).cast("long")
+
+
 def attach_spread(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left"
 ) -> DataFrame:
@@ -128,10 +184,10 @@ def attach_spread(
     if how in ("inner", "left_semi"):
         spread = F.lit(1)  # rows without a key are dropped before the shuffle
     else:
-        spread = F.pmod(F.xxhash64(*left.columns), F.lit(1024)).cast("int") + 1
-    salted = left.withColumn(_SALT, F.when(unknown, spread).otherwise(0))
+        spread = F.shiftrightunsigned(_row_hash(left), 1) + 1
+    salted = left.withColumn(_SALT, F.when(unknown, spread).otherwise(0).cast("long"))
     # no row has a NULL key and salt 0, so right rows with a NULL key match nothing
-    plain = right.withColumn(_SALT, F.when(unknown, -1).otherwise(0))
+    plain = right.withColumn(_SALT, F.when(unknown, -1).otherwise(0).cast("long"))
     return salted.join(plain, keys + [_SALT], how).drop(_SALT)
 
 
@@ -150,7 +206,7 @@ def attach_fan_out(
     had for less than ``left`` itself; ``keep_unkeyed=False`` says that no left key is NULL.
     """
     keys = as_list(on)
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    known = _all_known(keys)
     wanted = (left if left_keys is None else left_keys).select(*keys).where(known).distinct()
     lacking = attach(wanted, right.select(*keys).distinct(), keys, "left_anti")
     padded = right.unionByName(lacking, allowMissingColumns=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from acctmart.functions import flag_yn, iso_date, same_text
+from acctmart.functions import flag_yn, fold, iso_date, same_text
 
 # Status codes, product types and texts of the loan book.
 LITIGATION_START = (
@@ -37,27 +37,39 @@ LITIGATION_DATES = {
 }
 
 
-def is_fixed_rate(product: Column) -> Column:
-    return F.lower(product).isin(*FIXED_RATE_PRODUCTS)
+def _lower(text: Column, ci: bool) -> Column:
+    """These rules never regard case; with ``ci``, trailing blanks neither."""
+    return fold(text) if ci else F.lower(text)
 
 
-def rate_kind(product: Column) -> Column:
+def is_fixed_rate(product: Column, ci: bool = False) -> Column:
+    return _lower(product, ci).isin(*FIXED_RATE_PRODUCTS)
+
+
+def rate_kind(product: Column, ci: bool = False) -> Column:
     """F for fixed-rate products, else V (also where unknown)."""
-    return flag_yn(is_fixed_rate(product), "F", "V")
+    return flag_yn(is_fixed_rate(product, ci), "F", "V")
 
 
-def is_interest_only(method: Column) -> Column:
-    return F.lower(method) == "interest only"
+def is_interest_only(method: Column, ci: bool = False) -> Column:
+    return _lower(method, ci) == "interest only"
 
 
 def interest_only_end(
-    product: Column, method: Column, fixed_until: Column, maturity: Column
+    product: Column, method: Column, fixed_until: Column, maturity: Column, ci: bool = False
 ) -> Column:
     """End of the interest-only time: that of the fixed rate, else maturity."""
-    return F.when(
-        is_interest_only(method),
-        F.when(is_fixed_rate(product), iso_date(fixed_until)).otherwise(iso_date(maturity)),
-    )
+    fixed = F.when(is_fixed_rate(product, ci), iso_date(fixed_until))
+    return F.when(is_interest_only(method, ci), fixed.otherwise(iso_date(maturity)))
+
+
+def is_payment(category: Column, ci: bool = False) -> Column:
+    return _lower(category, ci) == PAYMENT_CATEGORY
+
+
+def is_set(flag: Column) -> Column:
+    """A flag of 1, whether its column is a number or a boolean."""
+    return flag.cast("int") == 1
 
 
 def arranged_end(option: Column, arranged: Column, otherwise: Column) -> Column:
@@ -73,12 +85,14 @@ def marp_date(marp_type: Column, changed_on: Column) -> Column:
     return F.when(marp_type.isin(MARP_OUT, *MARP_CURRENT), iso_date(changed_on))
 
 
-def marp_flag(marp_type: Column, regulator: Column, purpose: Column, arrears: Column) -> Column:
+def marp_flag(
+    marp_type: Column, regulator: Column, purpose: Column, arrears: Column, ci: bool = False
+) -> Column:
     """M current, O out, N not entered though a buy-to-let case in arrears; else NULL."""
     return (
         F.when(marp_type.isin(*MARP_CURRENT), "M")
         .when(marp_type == MARP_OUT, "O")
-        .when((regulator == 2) & (F.lower(purpose) == "btl") & (arrears > 0), "N")
+        .when((regulator == 2) & (_lower(purpose, ci) == "btl") & (arrears > 0), "N")
     )
 
 
@@ -98,8 +112,8 @@ def payment_method(mandate_status: Column, description: Column, ci: bool = False
     )
 
 
-def close_date(status: Column, effective: Column) -> Column:
-    return F.when(F.lower(status) == "redeemed", iso_date(effective))
+def close_date(status: Column, effective: Column, ci: bool = False) -> Column:
+    return F.when(_lower(status, ci) == "redeemed", iso_date(effective))
 
 
 def term_unit(frequency: Column, ci: bool = False) -> Column:

@@ -4,7 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DataType,
+    DateType,
+    IntegralType,
+    MapType,
+    NullType,
+    NumericType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 # Table and column names of the loan book.
 COLUMNS: dict[str, tuple[str, ...]] = {
@@ -54,6 +69,45 @@ COLUMNS: dict[str, tuple[str, ...]] = {
 UNREAD: dict[str, tuple[str, ...]] = {"MissedOrLatePayments": ("CaseId",)}
 
 
+# What a column holds, where it isn't a key or a code that any plain type may hold.
+DATES = frozenset((
+    "AIBCompletionDate", "CMS Month", "ChangedOnDate", "Completion Date", "CurrentRateEffectiveDate",
+    "Date", "DateFirstInArrears", "DateOfChange", "Datechanged", "Effective date", "EffectiveDate",
+    "MaturityDate", "Month end", "NextCollection", "Origination Date", "Period 1 end",
+    "ProjectedEndDate", "Transaction date",
+))
+NUMBERS = frozenset((
+    "Arrears", "ArrearsLME", "CMS", "CurBal", "Index rate", "Original loan amount",
+    "OutstandingArrears", "PayRateNow", "PaymentDay", "Payments received", "Remaining term",
+    "SectorCode", "Transaction amount",
+))
+FLAGS = frozenset(("FirstTimeBuyer", "WithholdCommunication"))
+TEXTS = frozenset((
+    "AccountNumber", "BIC", "Borrower Residency", "BorrowerID", "CaseReference", "Customer ID", "First name",
+    "IBAN", "Index name", "Loan ID", "Name", "Original Reference", "ProductType", "Purpose",
+    "Repayment method", "SortCode", "Status", "StatusDescription", "Sub Loan ID", "Surname",
+    "Transaction category", "Transaction description",
+))
+
+
+def _typed(name: str, kind: DataType) -> Column | str:
+    """The column as its rules want it, or what type is wanted instead."""
+    column = F.col(f"`{name}`")
+    if name in DATES:
+        fine = isinstance(kind, (DateType, TimestampType, TimestampNTZType, NullType))
+        return column if fine else "a date or timestamp"
+    if name in NUMBERS:
+        return column if isinstance(kind, (NumericType, NullType)) else "a number"
+    if name in FLAGS:
+        return column if isinstance(kind, (NumericType, BooleanType, NullType)) else "a number or boolean"
+    if name in TEXTS:
+        if isinstance(kind, IntegralType):
+            return column.cast("string").alias(name)
+        return column if isinstance(kind, (StringType, NullType)) else "a text"
+    nested = (ArrayType, MapType, StructType, BinaryType)
+    return "a plain value" if isinstance(kind, nested) else column
+
+
 def require_columns(df: DataFrame, columns: Iterable[str], table: str) -> DataFrame:
     """``df`` itself, or an error that names the missing columns. Case does not matter."""
     have = {c.lower() for c in df.columns}
@@ -64,13 +118,22 @@ def require_columns(df: DataFrame, columns: Iterable[str], table: str) -> DataFr
 
 
 def require_contract(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Check that all read tables are there, and reduce each to its read columns."""
+    """Check that all read tables are there with usable types, and reduce each to its read columns.
+
+    Whole numbers in text columns become text. All other types that a rule can't use are named in one error.
+    """
     absent = sorted(set(COLUMNS) - set(tables))
     if absent:
         raise ValueError(f"missing tables: {absent}")
-    return {
-        name: require_columns(tables[name], columns, name).select(
-            *[f"`{c}`" for c in columns]
-        )
-        for name, columns in COLUMNS.items()
-    }
+    out, wrong = {}, []
+    for name, columns in COLUMNS.items():
+        df = require_columns(tables[name], columns, name)
+        kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+        typed = {c: _typed(c, kinds[c.lower()]) for c in columns}
+        for c, found in typed.items():
+            if isinstance(found, str):
+                wrong.append(f"{name}.{c} is {kinds[c.lower()].simpleString()}, wanted is {found}")
+        out[name] = df.select(*[v for v in typed.values() if not isinstance(v, str)])
+    if wrong:
+        raise TypeError("; ".join(wrong))
+    return out

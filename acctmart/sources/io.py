@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from acctmart.sources.contract import COLUMNS, UNREAD
 
@@ -16,6 +17,8 @@ def load_tables(
     *,
     fmt: str = "parquet",
     overrides: Mapping[str, str | DataFrame] | None = None,
+    options: Mapping[str, object] | None = None,
+    schemas: Mapping[str, str | StructType] | None = None,
 ) -> dict[str, DataFrame]:
     """Lazy frames by table name.
 
@@ -25,6 +28,11 @@ def load_tables(
     """
     overrides = dict(overrides or {})
     names = list(names) if names is not None else [*COLUMNS, *UNREAD]
+    schemas = dict(schemas or {})
+
+    def files(name: str, path: str) -> DataFrame:
+        reader = spark.read.format(fmt).options(**dict(options or {}))
+        return (reader.schema(schemas[name]) if name in schemas else reader).load(path)
 
     def one(name: str) -> DataFrame:
         source = overrides.get(name)
@@ -33,14 +41,19 @@ def load_tables(
         if source is None and base is None:
             return spark.table(f"`{name}`")
         if source is None:
-            return spark.read.format(fmt).load(f"{base}/{name}.{fmt}")
-        return spark.read.format(fmt).load(source) if "/" in source else spark.table(source)
+            return files(name, f"{base}/{name}.{fmt}")
+        return files(name, source) if "/" in source else spark.table(source)
 
     return {name: one(name) for name in names}
 
 
 def save_bucketed(
-    df: DataFrame, table: str, keys: str | list[str], buckets: int, fmt: str = "parquet"
+    df: DataFrame,
+    table: str,
+    keys: str | list[str],
+    buckets: int,
+    fmt: str = "parquet",
+    mode: str = "errorifexists",
 ) -> None:
     """Store a table bucketed and sorted on its key, for joins on it without a shuffle.
 
@@ -53,7 +66,7 @@ def save_bucketed(
         .write.format(fmt)
         .bucketBy(buckets, *keys)
         .sortBy(*keys)
-        .mode("overwrite")
+        .mode(mode)
         .saveAsTable(table)
     )
 

@@ -113,6 +113,11 @@ def test_fixed2(spark):
     assert got == ["2.35", "1,234,567.13", "0.00", "-2.35", "0.00", None]
     got = one(spark, [D("0.023450"), D("0.000050"), D("12.345650")], "decimal(9,6)", R.percent_text("x"))
     assert got == ["2.35", "0.01", "1,234.57"]
+    # rounded once, whatever the scale
+    got = one(spark, [D("0.0234499999"), D("0.0234500000")], "decimal(18,10)", R.percent_text("x"))
+    assert got == ["2.34", "2.35"]
+    got = one(spark, [0.0234499999, 0.02345, 1.5e-7, None], "double", R.percent_text("x"))
+    assert got == ["2.34", "2.35", "0.00", None]
 
 
 def test_int_text(spark):

@@ -241,3 +241,41 @@ def test_two_rows_in_a_month(spark):
     assert got == {1: 2, 2: 1}
     with pytest.raises(ValueError):
         am.month_offset_pivot(df, *args, on_duplicate="first")
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "right", "full"])
+def test_unique_check_keeps_rows_without_a_key(spark, how):
+    left = spark.createDataFrame([(1, "l"), (5, "m"), (None, "n")], "k int, a string")
+    rows = [(1, "a"), (2, "b"), *[(None, v) for v in "uvwxy"]]
+    right = spark.createDataFrame(rows, "k int, b string").repartition(3)
+    got = am.attach(left, right, "k", how, expect_unique=True)
+    want = am.attach(left, right, "k", how)
+    key = lambda df: sorted(tuple(map(str, r)) for r in df.select("k", "a", "b").collect())
+    assert key(got) == key(want)
+    assert assert_unique(right, "k").count() == len(rows)
+    assert assert_unique(right, "k", keep_unkeyed=False).count() == 2
+
+
+def test_join_texts(spark):
+    rows = [(1, "b", 2), (1, "a", 3), (1, None, 1), (2, None, 1), (None, "x", 1)]
+    df = spark.createDataFrame(rows, "k int, s string, o int").repartition(3)
+    got = am.join_texts(df, "k", {"s": ("s", ","), "o": ("o", "+")}, order_by="o").collect()
+    assert {r.k: (r.s, r.o) for r in got} == {1: ("b,a", "1+2+3"), 2: (None, "1"), None: ("x", "1")}
+
+
+def test_nested_values_are_measured(spark):
+    big = spark.range(20).select(F.array_repeat(F.lit("x" * 50), 100).alias("v"))
+    pairs = spark.range(20).select(F.create_map(F.lit(1), F.repeat(F.lit("x"), 5000)).alias("m"))
+    small = spark.range(20).select(F.array(F.lit(1)).alias("v"))
+    variant = spark.range(1).select(F.parse_json(F.lit("1")).alias("v"))
+    limits = {"max_rows": 100, "max_bytes": 50_000}
+    assert fits_broadcast(big, pairs, small, variant, **limits) == [False, False, True, False]
+
+
+def test_spread_join_with_map_columns(spark):
+    left = spark.createDataFrame([(1, {"a": 1}), (None, {"b": 2}), (None, {})], "k int, m map<string,int>")
+    right = spark.createDataFrame([(1, "x"), (None, "y")], "k int, v string")
+    got = am.attach_spread(left, right, "k").collect()
+    assert sorted((str(r.k), str(r.v), len(r.m)) for r in got) == [
+        ("1", "x", 1), ("None", "None", 0), ("None", "None", 1),
+    ]

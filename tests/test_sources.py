@@ -1,7 +1,9 @@
 import pytest
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 import acctmart as am
+from acctmart.sources import require_contract
 
 
 def test_load_by_path_and_override(spark, tmp_path):
@@ -47,3 +49,30 @@ def test_missing_columns(spark):
     assert am.require_columns(nation, ["N_NAME"], "nation") is nation
     with pytest.raises(ValueError, match="'nation' lacks columns .'n_code'"):
         am.require_columns(nation, ["n_name", "n_code"], "nation")
+
+
+def test_reader_options_and_schemas(spark, tmp_path):
+    region = am.load_tables(spark, SF_DIR, ["region"])["region"]
+    region.select("r_regionkey", "r_name").write.option("header", True).csv(str(tmp_path / "region.csv"))
+    got = am.load_tables(
+        spark, str(tmp_path), ["region"], fmt="csv", options={"header": True},
+        schemas={"region": "r_regionkey int, r_name string"},
+    )["region"]
+    assert got.dtypes == [("r_regionkey", "int"), ("r_name", "string")] and got.count() == 5
+
+
+def test_bucketed_table_is_not_overwritten_unasked(spark):
+    region = am.load_tables(spark, SF_DIR, ["region"])["region"]
+    am.save_bucketed(region, "kept_region", "r_regionkey", 2, mode="overwrite")
+    with pytest.raises(Exception, match="already exists"):
+        am.save_bucketed(region, "kept_region", "r_regionkey", 2)
+
+
+def test_contract_names_wrong_types(spark, book):
+    wrong = {
+        **book,
+        "CreditGrade": book["CreditGrade"].withColumn("DateOfChange", F.lit("x")),
+        "CMSHistory_TBL": book["CMSHistory_TBL"].withColumn("CMS", F.lit("9")),
+    }
+    with pytest.raises(TypeError, match="CMS is string, wanted is a number.*DateOfChange is string, wanted is a date"):
+        require_contract(wrong)

@@ -34,8 +34,9 @@ def months_between(a: str, b: str) -> str:
     return f"CAST(datediff('month', {a}, {b}) AS BIGINT)"
 
 
-def percent(rate: str) -> str:
-    return f"format('{{:,.2f}}', CAST(round(CAST({rate} * 100 AS DECIMAL(18,6)), 2) AS DOUBLE))"
+def percent(rate: str, decimals: int = 6) -> str:
+    exact = f"CAST({rate} * 100 AS DECIMAL(28,{decimals}))"
+    return f"format('{{:,.2f}}', CAST(round({exact}, 2) AS DOUBLE))"
 
 
 def month_columns(value: str, date: str, offsets, prefix: str, agg: str = "max") -> str:
@@ -130,6 +131,12 @@ FROM keyed k
 LEFT JOIN "Loan Details" d ON d."Loan ID" = k.loan_id AND d."Sub Loan ID" = k.sub_loan_id
 """
 
+# the declared applicant is the first by id, unknown ids before all others
+DECLARED = """
+  SELECT DISTINCT ON ("CaseID") "CaseID", "BorrowerID" AS b FROM "Applicant_TBL"
+  ORDER BY "CaseID", "BorrowerID" NULLS FIRST
+"""
+
 RECODED = """
   SELECT *, CASE substr("Customer ID", 1, 4)
               WHEN 'URI_' THEN concat('1', rtrim(substr("Customer ID", 5)))
@@ -142,7 +149,7 @@ ORACLES["recoded_key_join"] = over_book("Applicant_TBL", "Customer Details") + f
 , recoded AS ({RECODED})
 SELECT a."CaseID" AS case_id, a.b AS borrower_id, c."Customer ID" AS customer_id,
        c."Borrower Residency" AS residency
-FROM (SELECT "CaseID", min("BorrowerID") AS b FROM "Applicant_TBL" GROUP BY 1) a
+FROM ({DECLARED}) a
 LEFT JOIN (SELECT DISTINCT ON (id) * FROM recoded
            ORDER BY id, "Borrower Residency" NULLS FIRST) c ON c.id = a.b
 """
@@ -150,7 +157,7 @@ LEFT JOIN (SELECT DISTINCT ON (id) * FROM recoded
 ORACLES["rate_with_index"] = over_book("Case_TBL", "Rate_TBL", "Index_TBL") + f"""
 SELECT c."CaseID" AS case_id, CAST(r."IndexID" AS BIGINT) AS index_id, i."Index name" AS funding,
        {percent('i."Index rate"')} AS base_rate,
-       CASE WHEN lower(i."ProductType") LIKE 'fixed%' OR lower(i."ProductType") = 'staff'
+       CASE WHEN lower(i."ProductType") IN ('fixed', 'fixed (mars)', 'fixed (sco22)', 'staff')
             THEN 'F' ELSE 'V' END AS fix_floating,
        CAST(r."Period 1 end" AS VARCHAR) AS fixed_until
 FROM "Case_TBL" c
@@ -346,6 +353,9 @@ LEFT JOIN "CaseInformation" i ON i."CaseID" = l."CaseID"
 LEFT JOIN "DV_LoanTermRemaining" t ON t."CaseID" = l."CaseID"
 """
 
+FINE_RATE = """(CAST(c."CaseID" % 99991 AS DECIMAL(10,0)) * CAST(0.0000023449 AS DECIMAL(10,10)))"""
+BINARY_RATE = """CAST(c."CaseID" % 1000 / 8192.0 AS DECIMAL(18,13))"""
+
 ORACLES["rates_text"] = over_book("Case_TBL", "CaseInformation") + f"""
 , prices AS (
   SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS price
@@ -355,7 +365,8 @@ SELECT c."CaseID" AS case_id, {percent('i."PayRateNow"')} AS rate,
        format('{{:,.2f}}', CAST(round(CAST(p.price * 0.125 AS DECIMAL(28,5)), 2) AS DOUBLE))
          AS eighth,
        format('{{:,.2f}}', CAST(i."CurBal" - p.price AS DOUBLE)) AS difference,
-       CAST(CAST(round(c."SectorCode", 0) AS BIGINT) AS VARCHAR) AS sector
+       CAST(CAST(round(c."SectorCode", 0) AS BIGINT) AS VARCHAR) AS sector,
+       {percent(FINE_RATE, 10)} AS fine_rate, {percent(BINARY_RATE, 13)} AS binary_rate
 FROM "Case_TBL" c
 LEFT JOIN "CaseInformation" i ON i."CaseID" = c."CaseID"
 LEFT JOIN prices p ON p.l_orderkey = c."CaseID"
@@ -382,7 +393,7 @@ LEFT JOIN "Rate_TBL" r ON r."CaseID" = l."CaseID"
 
 STATUS = """
   SELECT h."CaseID", s."Status" AS status,
-         CASE WHEN s."StatusID" = 1 THEN CAST(h."Effective date" AS VARCHAR) END AS close_day
+         CASE WHEN lower(s."Status") = 'redeemed' THEN CAST(h."Effective date" AS VARCHAR) END AS close_day
   FROM (SELECT DISTINCT ON ("CaseID") * FROM "StatusHistory_TBL"
         ORDER BY "CaseID", "Datechanged" DESC NULLS LAST, "Effective date" DESC, "StatusID" DESC) h
   LEFT JOIN "Status_TBL" s ON s."StatusID" = h."StatusID"
@@ -392,9 +403,10 @@ ORACLES["account_status"] = over_book("StatusHistory_TBL", "Status_TBL") + f"""
 SELECT "CaseID" AS case_id, status, close_day FROM ({STATUS})
 """
 
-START = [*range(17, 24), 25, 27, 28, 29, *range(42, 52), 71]
-END = list(range(31, 39))
-PRE_START = list(range(9, 14))
+# The status codes of each stage.
+START = [17, 18, 19, 20, 21, 22, 23, 25, 27, 28, 29, 42, 43, 44, 45, 46, 47, 48, 49, 50, 51, 71]
+END = [31, 32, 33, 34, 35, 36, 37, 38]
+PRE_START = [9, 10, 11, 12, 13]
 
 LITIGATION = f"""
   SELECT "CaseID",
@@ -433,11 +445,11 @@ ARA = """
 INTEREST_ONLY_END = """CAST(CASE WHEN a."DSTResolutionOptionID" = 4 THEN a."ProjectedEndDate"
             WHEN lower(l."Repayment method") <> 'interest only' THEN NULL
             WHEN l."Repayment method" IS NULL THEN NULL
-            WHEN x."ProductType" IN ('Fixed', 'Fixed (MARS)', 'STAFF') THEN r."Period 1 end"
+            WHEN x."ProductType" IN ('Fixed', 'Fixed (MARS)', 'Fixed (SCO22)', 'STAFF') THEN r."Period 1 end"
             ELSE i."MaturityDate" END AS VARCHAR)"""
 
 FIX_FLOATING = (
-    """CASE WHEN x."ProductType" IN ('Fixed', 'Fixed (MARS)', 'STAFF') THEN 'F' ELSE 'V' END"""
+    """CASE WHEN x."ProductType" IN ('Fixed', 'Fixed (MARS)', 'Fixed (SCO22)', 'STAFF') THEN 'F' ELSE 'V' END"""
 )
 
 ORACLES["interest_only_end"] = over_book(
@@ -578,7 +590,7 @@ def _extract(as_of: str, rates: str = 'SELECT * FROM "Rate_TBL"') -> str:
 , names AS ({NAMES}), recoded AS ({RECODED}),
 residency AS (
   SELECT a."CaseID", c."Borrower Residency" AS r
-  FROM (SELECT "CaseID", min("BorrowerID") AS b FROM "Applicant_TBL" GROUP BY 1) a
+  FROM ({DECLARED}) a
   JOIN (SELECT id, "Borrower Residency" FROM recoded) c ON c.id = a.b
 ),
 refs AS (
@@ -685,5 +697,14 @@ ORDER BY "ACC_NO"
 
 
 ORACLES["account_extract"] = _extract(AS_OF)
+ORACLES["account_extract_char_bit"] = _extract(AS_OF)
 ORACLES["account_extract_mid_month"] = _extract(AS_OF_SHORT)
 ORACLES["account_extract_repeated_cases"] = _extract(AS_OF, RATE_PER_LINE)
+ORACLES["account_extract_spread"] = _extract(AS_OF, RATE_PER_LINE)
+
+ORACLES["unique_outer_join"] = """
+SELECT coalesce(s.s_suppkey, c.k) AS k, s.s_name, c.c_name
+FROM supplier s
+FULL JOIN (SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS k, c_name FROM customer) c
+  ON c.k = s.s_suppkey
+"""

@@ -17,6 +17,7 @@ from acctmart import (
     first_last_dates,
     has_related,
     join_text,
+    join_texts,
     latest_per_key,
     latest_status_count,
     lookup_name,
@@ -290,9 +291,8 @@ def first_last_ship_dates(spark, sf):
 @query
 def returnflags_text(spark, sf):
     lines = table(spark, sf, "lineitem")
-    numbers = join_text(lines, "l_orderkey", "l_linenumber", "lines", order_by="l_linenumber")
-    flags = join_text(lines, "l_orderkey", "l_returnflag", "flags", order_by="l_linenumber")
-    return attach(numbers, flags, "l_orderkey")
+    texts = {"lines": ("l_linenumber", ","), "flags": ("l_returnflag", ",")}
+    return join_texts(lines, "l_orderkey", texts, order_by="l_linenumber")
 
 
 @query
@@ -528,12 +528,16 @@ def rates_text(spark, sf):
     prices = lines.groupBy(F.col("l_orderkey").alias("CaseID")).agg(
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("price")
     )
+    # rates of ten decimals, and binary ones
+    fine = (F.col("CaseID") % 99991).cast("decimal(10,0)") * F.lit("0.0000023449").cast("decimal(10,10)")
     return attach(attach(cases, rates, "CaseID"), prices, "CaseID").select(
         F.col("CaseID").alias("case_id"),
         percent_text("PayRateNow").alias("rate"),
         fixed2(F.col("price") / F.lit(8).cast("decimal(4,0)")).alias("eighth"),
         fixed2(F.col("CurBal") - F.col("price")).alias("difference"),
         int_text("SectorCode").alias("sector"),
+        percent_text(fine).alias("fine_rate"),
+        percent_text(F.col("CaseID") % 1000 / F.lit(8192.0)).alias("binary_rate"),
     )
 
 
@@ -757,17 +761,64 @@ def account_extract(spark, sf):
     return build_extract(loan_book(spark, sf), AS_OF)
 
 
-@query
-def account_extract_repeated_cases(spark, sf):
-    """The extract where cases have one rate row per line of their order."""
-    lines = table(spark, sf, "lineitem").select(
+def rates_per_line(spark, sf):
+    return table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("CaseID"),
         (F.col("l_linenumber") % 6).cast("int").alias("IndexID"),
         F.to_date("l_shipdate").alias("Period 1 end"),
     )
-    return build_extract({**loan_book(spark, sf), "Rate_TBL": lines}, AS_OF, repeated_cases=True)
+
+
+@query
+def account_extract_repeated_cases(spark, sf):
+    """The extract where cases have one rate row per line of their order."""
+    return build_extract({**loan_book(spark, sf), "Rate_TBL": rates_per_line(spark, sf)}, AS_OF)
+
+
+@query
+def account_extract_spread(spark, sf):
+    """The same by the joins for cases with very many rows."""
+    return build_extract({**loan_book(spark, sf), "Rate_TBL": rates_per_line(spark, sf)}, AS_OF, repeated_cases=True)
+
+
+@query
+def account_extract_char_bit(spark, sf):
+    """The extract from blank-padded and upper-cased texts and boolean flags, as other readers give them."""
+    t = loan_book(spark, sf)
+
+    def padded(name: str, column: str, upper: bool = False) -> None:
+        text = F.upper(F.col(column)) if upper else F.col(column)
+        t[name] = t[name].withColumn(column, F.rpad(text, 40, " "))
+
+    for name, column in (
+        ("Index_TBL", "ProductType"),
+        ("Loan_TBL", "Repayment method"),
+        ("Loan_TBL", "Purpose"),
+        ("TransactionType_TBL", "Transaction category"),
+        ("Customer Details", "Customer ID"),
+        ("Loan Details", "Loan ID"),
+    ):
+        padded(name, column, upper=True)
+    # these show up in the result, so their case stays
+    padded("Status_TBL", "Status")
+    padded("PaymentFrequency", "Name")
+    padded("TransactionType_TBL", "Transaction description")
+    for name, column in (("Loan_TBL", "FirstTimeBuyer"), ("Applicant_TBL", "WithholdCommunication")):
+        t[name] = t[name].withColumn(column, F.col(column).cast("boolean"))
+    shown = ("ACC_STA_CDE", "INT_PMT_FREQ_CDE", "TOT_INSTALMT_PMT_FREQ_CDE", "PAYMENT_METHOD")
+    return build_extract(t, AS_OF, ci=True).withColumns({c: F.rtrim(c) for c in shown})
 
 
 @query
 def account_extract_mid_month(spark, sf):
     return build_extract(loan_book(spark, sf), AS_OF_SHORT)
+
+
+@query
+def unique_outer_join(spark, sf):
+    """A full join with a right side checked to be unique, where a third of the right keys is unknown."""
+    suppliers = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), "s_name")
+    customers = table(spark, sf, "customer").select(
+        F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).alias("k"), "c_name"
+    )
+    return attach(suppliers, customers, "k", "full", expect_unique=True)

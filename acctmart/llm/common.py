@@ -95,5 +95,5 @@ def add_columns(
 
     find_package(df)
     # the inputs go by place, so that no name can clash
-    sent = [F.col(f"`{c}`") for c in carried] + [F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(inputs)]
+    sent = [F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate([*carried, *inputs])]
     return df.select(*sent).mapInArrow(run, schema)

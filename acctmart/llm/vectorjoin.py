@@ -68,14 +68,14 @@ def _unit(rows) -> np.ndarray:
 
 def placed(vectors: DataFrame, axes: dict[int, np.ndarray], width: float) -> DataFrame:
     """``vectors`` with their grid ``cell`` and their length ``dim``."""
-    schema = "label int, rep long, n long, v array<float>, dim int, cell array<int>"
+    schema = "label int, key string, rep long, n long, v array<float>, dim int, cell array<int>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for length, part in batch.groupby(batch["v"].map(len)):
                 p = projected(_unit(part["v"]), axes)[:, :GRID]
                 cells = np.floor(p / width).astype(np.int32)
-                yield part.assign(dim=np.int32(length), cell=list(cells))[["label", "rep", "n", "v", "dim", "cell"]]
+                yield part.assign(dim=np.int32(length), cell=list(cells))[["label", "key", "rep", "n", "v", "dim", "cell"]]
 
     return vectors.mapInPandas(run, schema)
 
@@ -183,7 +183,11 @@ def _joined(axes: dict[int, np.ndarray], cosine: float, reach: float):
                     low, high = (s, t) if ids[s] <= ids[t] else (t, s)
                     lead[high] = low
         some = links.nonzero()[0]
-        return pd.DataFrame({"rep": ids[some], "links": links[some], "lead": ids[[root(k) for k in some]]})
+        keys = np.concatenate([a["key"], [] if alone else b["key"]])
+        top = ids[[root(k) for k in some]]
+        return pd.DataFrame(
+            {"label": rows["label"].iloc[0], "key": keys[some], "rep": ids[some], "links": links[some], "lead": top}
+        )
 
     return run
 
@@ -212,7 +216,7 @@ def linked_vectors(
         .withColumn("rep", F.coalesce("id", -F.abs(F.xxhash64("key")) - 1))
     )
     axes = directions(classes)
-    cells = placed(classes.select("label", "rep", "n", "v"), axes, reach)
+    cells = placed(classes.select("label", "key", "rep", "n", "v"), axes, reach)
     # the sequence: sorted by label and cell; within a cell by the cell's own order of ids
     parts = cells.repartitionByRange("label", "dim", "cell", F.xxhash64("rep")).sortWithinPartitions("label", "dim", "cell", "rep")
     cutup = cut(intervals(parts, axes))
@@ -249,21 +253,21 @@ def linked_vectors(
         .distinct()
     )
     sides = cut(pairs)
-    members = cutup.select("interval", "rep", "n", "v")
+    members = cutup.select("interval", "label", "key", "rep", "n", "v")
     sent = (
         sides.select("one", "two", F.col("one").alias("interval"), F.lit(True).alias("first"))
         .union(sides.filter("one <> two").select("one", "two", F.col("two").alias("interval"), F.lit(False).alias("first")))
         .join(members, "interval")
-        .select("one", "two", "first", "rep", "n", "v")
+        .select("one", "two", "first", "label", "key", "rep", "n", "v")
     )
     found = cut(
-        sent.groupBy("one", "two").applyInPandas(_joined(axes, cosine, reach), "rep long, links long, lead long")
+        sent.groupBy("one", "two").applyInPandas(_joined(axes, cosine, reach), "label int, key string, rep long, links long, lead long")
     )
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    links = found.groupBy("label", "key").agg(F.sum("links").alias("links"))
     reached = components(found.filter("rep <> lead").select("rep", "lead"))
     named = (
         classes.select("label", "key", "rep", "id", "n")
-        .join(links, "rep", "left")
+        .join(links, ["label", "key"], "left")
         .join(reached.withColumnRenamed("id", "rep").withColumnRenamed("component", "top"), "rep", "left")
         .select("label", "key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("top", "rep").alias("top"))
     )

@@ -275,12 +275,15 @@ def draws(
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix: each row of ``docs`` as often as it is taken, with its ``shard``, dealt to the shards and ordered within them."""
+    """The mix: each row of ``docs`` as often as it is taken, with its ``shard``, dealt to the shards and ordered within them.
+
+    The rows of a shard are shuffled in pieces, by the leading bits of their place, so that a shard may be larger than a task.
+    """
     drawn = draws(docs, **options)
     rows = drawn.withColumn("_draw", F.explode("draws")).withColumn("shard", F.col("_draw.shard"))
     return (
         rows.withColumn("_place", F.col("_draw.place"))
-        .repartition("shard")
+        .repartition("shard", F.shiftright("_place", 48))
         .sortWithinPartitions("shard", "_place")
         .select(*[c for c in drawn.columns if c in docs.columns], "shard")
     )

@@ -188,3 +188,47 @@ def quality(
         .withColumn("base_failed", ~compile_rules(base))
         .withColumn("kept", ~F.col("base_failed") & compile_rules(rules))
     )
+
+
+def _sql_rules(rules: tuple[Rule, ...]) -> str:
+    parts = [f"{r.metric} >= {r.low}" for r in rules if r.low is not None]
+    parts += [f"{r.metric} <= {r.high}" for r in rules if r.high is not None]
+    return " AND ".join(parts)
+
+
+_COMMON = sorted({w for line in STOP_WORDS.values() for w in line.split()})
+#: The same by lists and by rows of windows compared as text.
+ORACLE = rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT k, unnest(list_transform(range(1, len(ws) - 6), lambda i: {{'i': i, 'w': list_slice(ws, i, i + 7)}})) AS x
+  FROM split
+), twice AS (
+  SELECT k, x.i AS i FROM windows QUALIFY count(*) OVER (PARTITION BY k, x.w) > 1
+), covered AS (
+  SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY k
+), counted AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(body, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+         len(lines) AS n_lines, len(regexp_extract_all(body, '!')) AS n_exclamations, len(list_distinct(ws)) AS n_different,
+         len(list_intersect(list_distinct(ws), {_COMMON + [w.capitalize() for w in _COMMON]})) AS n_stop
+  FROM split LEFT JOIN covered USING (k)
+), rated AS (
+  SELECT *, CASE WHEN n_words = 0 THEN 0 ELSE word_chars / n_words END AS mean_word_chars,
+         CASE WHEN n_words = 0 THEN 0 ELSE n_symbols / n_words END AS symbol_ratio,
+         CASE WHEN n_words = 0 THEN 0 ELSE 100 * n_repeat_words / n_words END AS repeat_pct,
+         CASE WHEN n_words = 0 THEN 0 ELSE n_exclamations / n_words END AS exclamation_ratio,
+         CASE WHEN n_words = 0 THEN 0 ELSE n_different / least(n_words, {VARIETY_WORDS}) END AS variety,
+         CASE WHEN n_lines = 0 THEN 0 ELSE n_dup_lines / n_lines END AS dup_line_ratio,
+         CASE WHEN n_different = 0 THEN 0 ELSE n_stop / n_different END AS stop_ratio
+  FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, NOT ({_sql_rules(BASE)}) AS base_failed,
+       {_sql_rules(BASE)} AND {_sql_rules(RULES)} AS kept
+FROM rated
+"""

@@ -14,6 +14,7 @@ from acctmart.llm.htmltext import main_text
 from acctmart.llm.licenses import license_scan
 from acctmart.llm.mixing import draws
 from acctmart.llm.neardup import near_duplicates
+from acctmart.llm.quality import ORACLE as QUALITY_ORACLE
 from acctmart.llm.quality import quality
 from acctmart.llm.token_counts import token_counts
 from acctmart.llm.toxicity import held_out, toxicity
@@ -95,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {"op1_chat_formatting": chats.ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_chat_formatting": chats.ORACLE,
+    "op8_quality_rules": QUALITY_ORACLE,
+}

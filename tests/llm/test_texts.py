@@ -60,6 +60,16 @@ def test_quality_over_a_table_and_its_labels(spark):
     assert all(got[d].kept for d in good if not got[d].base_failed)
 
 
+def test_quality_against_sql(spark):
+    import duckdb
+
+    from workload.compare import differences
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    assert differences(queries.op8_quality_rules(spark, SF), con, queries.ORACLES["op8_quality_rules"]) == []
+
+
 def test_filter_on_the_verdict_measures_once(spark):
     plan = quality.quality(odd_docs(spark)).filter("kept").select("doc_id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("split(") <= 2 and "Python" not in plan and "Exchange hash" not in plan

@@ -8,6 +8,9 @@ a template is a candidate; it is a match if it holds that share of the template'
 A minimum that equals a template's is a shingle of that template. So windows without any template shingle can't share a band, and only the
 others get their values computed: the result is that of computing all.
 
+A template of fewer than five words is one shingle of all its words, met by windows of that width: a match holds it whole, and is
+found by comparing the hashes, without bands.
+
 Templates are a bounded table given by the caller and go to the tasks with the code; there is no shuffle, and a task holds one
 slice of texts. Words are lower-cased (A-Z) and stripped of the punctuation around them. Defined results: null and empty texts, and texts shorter than
 any template, match nothing and give no row. Repeated rows give repeated results. Very long texts are scanned whole. Columns of the input that
@@ -68,20 +71,45 @@ TEMPLATES = (
     ),
     ("MPL-2.0", "mpl notice", "subject to the terms of the Mozilla Public License, v. 2.0"),
 )
+#: Notices of fewer than five words, in the same form; a longer notice that names its license holds some of them too.
+SHORT_NOTICES = (
+    ("all-rights-reserved", "all rights reserved", "All rights reserved"),
+    ("Apache-2.0", "apache name", "Apache License, Version 2.0"),
+    ("Apache-2.0", "apache short name", "Apache License 2.0"),
+    ("MIT", "mit name", "MIT License"),
+    ("BSD", "bsd name", "BSD License"),
+    ("GPL", "gpl name", "GNU General Public License"),
+    ("MPL-2.0", "mpl name", "Mozilla Public License"),
+    ("CC-BY-4.0", "cc by name", "CC BY 4.0"),
+    ("CC-BY-NC-4.0", "cc by-nc name", "CC BY-NC 4.0"),
+    *(
+        (name, f"spdx {name.lower()}", f"SPDX-License-Identifier: {name}")
+        for name in (
+            "Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+            "GPL-3.0-or-later", "MPL-2.0", "CC-BY-4.0", "CC-BY-NC-4.0",
+        )
+    ),
+)
+#: All of them: what the query looks for.
+NOTICES = TEMPLATES + SHORT_NOTICES
 _AROUND = b".,;:!?()[]\"'"
 _SEEDS = mixed(np.arange(1, 513, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
 
-def shingles(text: str | None, memo) -> np.ndarray:
-    """The 64-bit hashes of a text's five-word shingles, in order; none for fewer words."""
+def word_values(text: str | None, memo) -> np.ndarray:
+    """The 64-bit hashes of a text's words, in order."""
     found = [w for raw in (text or "").encode().lower().split() if (w := raw.strip(_AROUND))]
-    if len(found) < SHINGLE:
+    return np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
+
+
+def shingles(h: np.ndarray, width: int = SHINGLE) -> np.ndarray:
+    """The 64-bit hashes of the shingles of so many words, in order; none for fewer words."""
+    if len(h) < width:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
-    total = np.zeros(len(h) - SHINGLE + 1, np.uint64)
-    for k in range(SHINGLE):
-        total = total * _FACTOR + h[k : len(h) - SHINGLE + 1 + k]
+    total = np.zeros(len(h) - width + 1, np.uint64)
+    for k in range(width):
+        total = total * _FACTOR + h[k : len(h) - width + 1 + k]
     return mixed(total)
 
 
@@ -99,11 +127,15 @@ def minhash(values: np.ndarray, n: int) -> np.ndarray:
 class Scanner:
     def __init__(self, templates, contained: float = CONTAINED, miss: float = MISS):
         self.memo, self.contained = word_hashes(), contained
-        self.templates = []
+        self.templates, self.short = [], []
         for number, (_, name, text) in enumerate(templates):
-            values = np.unique(shingles(text, self.memo))
-            if not len(values):
-                raise ValueError(f"template {name!r} has fewer than {SHINGLE} words")
+            h = word_values(text, self.memo)
+            if not len(h):
+                raise ValueError(f"template {name!r} has no words")
+            if len(h) < SHINGLE:
+                self.short.append((number, len(h), shingles(h, len(h))[0]))
+                continue
+            values = np.unique(shingles(h))
             # the words of a template, and of a window: places of shingles are counted, not words
             step = len(values) + SHINGLE - 1
             window = 2 * step - SHINGLE + 1
@@ -111,11 +143,13 @@ class Scanner:
             if n > len(_SEEDS):
                 raise ValueError(f"template {name!r} would need {n} bands")
             self.templates.append((number, values, step, window, minhash(values, n)))
-        self.known = np.unique(np.concatenate([t[1] for t in self.templates]))
+        self.known = np.unique(np.concatenate([np.empty(0, np.uint64), *[t[1] for t in self.templates]]))
+        self.widths = {width for _, width, _ in self.short}
 
     def scan(self, text: str | None) -> list[tuple[int, float, int, int]]:
         """(template, containment, first word, last word) of the best window per template, the first of equal ones."""
-        values = shingles(text, self.memo)
+        h = word_values(text, self.memo)
+        values = shingles(h)
         marked = np.flatnonzero(np.isin(values, self.known))
         found = []
         for number, template, step, window, signature in self.templates if len(marked) else ():
@@ -133,6 +167,11 @@ class Scanner:
                     best = (share, int(at[0]), int(at[-1]) + SHINGLE - 1)
             if best:
                 found.append((number, *best))
+        by_width = {width: shingles(h, width) for width in self.widths}
+        for number, width, value in self.short:
+            at = np.flatnonzero(by_width[width] == value)
+            if len(at):
+                found.append((number, 1.0, int(at[0]), int(at[0]) + width - 1))
         return found
 
 

@@ -179,6 +179,23 @@ def test_license_scan_of_odd_rows(spark):
         assert (1 - held / (window + len(values) - held)) ** len(signature) <= licenses.MISS
 
 
+def test_license_scan_finds_short_notices(spark):
+    texts = [
+        f"{prose(50, 1)}\n(c) 2020 Some One. All rights reserved.", "SPDX-License-Identifier: MIT", "MIT License", "all rights are reserved",
+        "all rights", "Under the Apache License, Version 2.0 now",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.doc_id, r.template, r.containment, r.first_word, r.last_word) for r in licenses.license_scan(docs, templates=licenses.NOTICES).collect()]
+    want = [(0, "all rights reserved", 54, 56), (1, "spdx mit", 0, 1), (2, "mit name", 0, 1), (5, "apache name", 2, 5)]
+    assert sorted(got) == [(d, name, 1.0, first, last) for d, name, first, last in want]
+
+
+def test_license_query_finds_the_reserved_rights(spark):
+    held = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").filter("text ILIKE '%all rights reserved%'").collect()}
+    found = {r.doc_id for r in queries.op4_license_scan(spark, SF).filter("template = 'all rights reserved'").collect()}
+    assert held and found == held
+
+
 def test_no_fixed_row_limits(spark):
     docs = odd_docs(spark)
     assert docs.filter(F.length("text") > 100_000).count() == 1

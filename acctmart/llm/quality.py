@@ -3,6 +3,10 @@
 Every metric is a built-in expression over the whole text, and every rule bounds one metric; the
 verdict is their conjunction. There is no user function and no shuffle.
 
+The rules cover English, German, French and Spanish, the languages of ``STOP_WORDS``: a text without any
+of these words isn't kept, so texts in other languages need lists of their own (``stop_words``). One listed word is
+enough whatever the length of the text, as a share of the different words would fall with it.
+
 Defined results: a null or empty text has no words and fails the base rules; a null never reaches
 the verdict. Repeated rows are judged row by row. Other columns pass through untouched unless they
 have the name of a metric or a verdict, which then replaces them.
@@ -60,7 +64,7 @@ RULES = (
     Rule("exclamations to words", "exclamation_ratio", high=0.3),
     Rule("different words to words", "variety", low=0.4),
     Rule("lines seen before", "dup_line_ratio", high=0.6),
-    Rule("common words to different words", "stop_ratio", low=0.001),
+    Rule("different common words", "n_stop", low=1),
 )
 
 

@@ -75,6 +75,22 @@ def test_filter_on_the_verdict_measures_once(spark):
     assert plan.count("split(") <= 2 and "Python" not in plan and "Exchange hash" not in plan
 
 
+def test_quality_of_clean_text_does_not_depend_on_its_length(spark):
+    import corpus_pipeline
+
+    rows = []
+    for k, line in enumerate(quality.STOP_WORDS.values()):
+        common = line.split()
+        # so many different words that those of the whole list are less than a thousandth of them
+        for n in (40, 400, 60_000):
+            ws = [common[i // 2 % len(common)] if i % 2 else f"word{i}" for i in range(n)]
+            rows.append((10 * k + len(str(n)), " ".join(ws + [f"more{i}" for i in range(n)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("lang", "source", "n_chars")})
+    got = quality.quality(docs).collect()
+    assert any(r.n_stop < 0.001 * r.n_different for r in got) and all(r.kept for r in got)
+    assert corpus_pipeline.quality_stage(spark, docs, SF).count() == len(rows)
+
+
 def fuzz():
     pick = random.Random(5)
     some = [chr(c) for c in range(1, 0x2FFF)] + [" "] * 3000 + ["\n"] * 900 + list("thean'slr") * 300

@@ -12,7 +12,7 @@ A template of fewer than five words is one shingle of all its words, met by wind
 found by comparing the hashes, without bands.
 
 Templates are a bounded table given by the caller and go to the tasks with the code; there is no shuffle, and a task holds one
-slice of texts. Words are lower-cased (A-Z) and stripped of the punctuation around them. Defined results: null and empty texts, and texts shorter than
+slice of texts. Words are lower-cased (A-Z) and stripped of the punctuation and comment marks around them, so a header in a source file reads as its text. Defined results: null and empty texts, and texts shorter than
 any template, match nothing and give no row. Repeated rows give repeated results. Very long texts are scanned whole. Columns of the input that
 aren't carried along don't matter.
 """
@@ -92,7 +92,8 @@ SHORT_NOTICES = (
 )
 #: All of them: what the query looks for.
 NOTICES = TEMPLATES + SHORT_NOTICES
-_AROUND = b".,;:!?()[]\"'"
+#: Punctuation and the marks of comments; words of nothing else are left out.
+_AROUND = b".,;:!?()[]\"'#*/-<>"
 _SEEDS = mixed(np.arange(1, 513, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -180,7 +181,7 @@ def license_scan(
 ) -> DataFrame:
     """A row for each row of ``docs`` and template that it holds: license, template, containment, first_word, last_word.
 
-    Words are numbered from 0, those of nothing but punctuation left out.
+    Words are numbered from 0, those of nothing but punctuation or comment marks left out.
     """
 
     def make():

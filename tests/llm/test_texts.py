@@ -206,6 +206,18 @@ def test_license_scan_finds_short_notices(spark):
     assert sorted(got) == [(d, name, 1.0, first, last) for d, name, first, last in want]
 
 
+@pytest.mark.parametrize("first, mark, last", [("", "# ", ""), ("", "// ", ""), ("/*\n", " * ", "\n */"), ("<!--\n", " - ", "\n-->"), ("", "-- ", "")])
+def test_license_scan_reads_comments(spark, first, mark, last):
+    texts = []
+    for _, _, template in licenses.NOTICES:
+        ws = template.split(" ")
+        lines = [" ".join(ws[i : i + 9]) for i in range(0, len(ws), 9)]
+        texts.append(first + "\n".join(mark + line for line in lines) + last)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.template) for r in licenses.license_scan(docs, templates=licenses.NOTICES).filter("containment = 1").collect()}
+    assert got >= {(i, name) for i, (_, name, _) in enumerate(licenses.NOTICES)}
+
+
 def test_license_query_finds_the_reserved_rights(spark):
     held = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").filter("text ILIKE '%all rights reserved%'").collect()}
     found = {r.doc_id for r in queries.op4_license_scan(spark, SF).filter("template = 'all rights reserved'").collect()}

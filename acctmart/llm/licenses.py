@@ -3,7 +3,9 @@
 A text's words are cut into windows twice as long as a template, each starting half a window after the one before, so that any
 place of a template lies whole in a window. Window and template are sets of five-word shingles. Each has ``bands(...)`` MinHash values, every one a band: so many
 that a window holding ``CONTAINED`` of a template misses all of them with a probability below ``MISS``. A window that shares a band with
-a template is a candidate; it is a match if it holds that share of the template's shingles, counted exactly.
+a template is a candidate; it is a match if it holds that share of the template's shingles, counted exactly. Each place in a
+matching window gives a row: the shingles there are cut where the template begins anew, and of what overlaps, as the same place met by
+two windows, the part with the largest share stays.
 
 A minimum that equals a template's is a shingle of that template. So windows without any template shingle can't share a band, and only the
 others get their values computed: the result is that of computing all.
@@ -20,6 +22,7 @@ aren't carried along don't matter.
 from __future__ import annotations
 
 import math
+from bisect import bisect
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -125,10 +128,27 @@ def minhash(values: np.ndarray, n: int) -> np.ndarray:
     return mixed(values[None, :] ^ _SEEDS[:n, None]).min(axis=1)
 
 
+def runs(at: np.ndarray, ranks: np.ndarray) -> list[np.ndarray]:
+    """Places of a template's shingles, cut where their order in the template (-1 for none) doesn't rise."""
+    ranked = np.flatnonzero(ranks >= 0)
+    return np.split(at, ranked[1:][np.diff(ranks[ranked]) <= 0])
+
+
+def rounds(at: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
+    """The same, cut where a shingle comes again."""
+    cuts, seen = [], set()
+    for k, value in enumerate(values.tolist()):
+        if value in seen:
+            cuts.append(k)
+            seen.clear()
+        seen.add(value)
+    return np.split(at, cuts)
+
+
 class Scanner:
     def __init__(self, templates, contained: float = CONTAINED, miss: float = MISS):
         self.memo, self.contained = word_hashes(), contained
-        self.templates, self.short = [], []
+        self.templates, self.short, self.ranks = [], [], {}
         for number, (_, name, text) in enumerate(templates):
             h = word_values(text, self.memo)
             if not len(h):
@@ -136,7 +156,8 @@ class Scanner:
             if len(h) < SHINGLE:
                 self.short.append((number, len(h), shingles(h, len(h))[0]))
                 continue
-            values = np.unique(shingles(h))
+            values, first, times = np.unique(shingles(h), return_index=True, return_counts=True)
+            self.ranks[number] = np.where(times == 1, first, -1)
             # the words of a template, and of a window: places of shingles are counted, not words
             step = len(values) + SHINGLE - 1
             window = 2 * step - SHINGLE + 1
@@ -147,14 +168,45 @@ class Scanner:
         self.known = np.unique(np.concatenate([np.empty(0, np.uint64), *[t[1] for t in self.templates]]))
         self.widths = {width for _, width, _ in self.short}
 
+    def _places(self, values: np.ndarray, number: int, template: np.ndarray, parts: list[np.ndarray]) -> list[tuple[float, int, int]]:
+        """(containment, first word, last word) of each place, in order, from the shingles' places in the windows that match."""
+        starts, taken = [], []  # what is taken, in order, without overlaps
+
+        def share(at: np.ndarray) -> float:
+            return len(np.unique(values[at])) / len(template)
+
+        def take(at: np.ndarray) -> None:
+            first, last = int(at[0]), int(at[-1]) + SHINGLE - 1
+            k = bisect(starts, last)
+            if not k or taken[k - 1][2] < first:
+                starts.insert(k, first)
+                taken.insert(k, (share(at), first, last))
+
+        ranks = [self.ranks[number][np.searchsorted(template, values[at])] for at in parts]
+        whole = [run for at, r in zip(parts, ranks) for run in runs(at, r) if share(run) >= self.contained]
+        for run in sorted(whole, key=lambda run: (-share(run), run[0])):
+            take(run)
+        # places whose shingles stand in another order: from what lies between those taken
+        for at in parts:
+            before = np.searchsorted(starts, at, side="right")
+            ends = np.array([-1, *[last for _, _, last in taken]])
+            free = at > ends[before]
+            for k in np.unique(before[free]).tolist():
+                piece = at[free & (before == k)]
+                if share(piece) >= self.contained:
+                    again = [p for p in rounds(piece, values[piece]) if share(p) >= self.contained]
+                    for p in again or [piece]:
+                        take(p)
+        return taken
+
     def scan(self, text: str | None) -> list[tuple[int, float, int, int]]:
-        """(template, containment, first word, last word) of the best window per template, the first of equal ones."""
+        """(template, containment, first word, last word) of each place of a template, by template and place."""
         h = word_values(text, self.memo)
         values = shingles(h)
         marked = np.flatnonzero(np.isin(values, self.known))
         found = []
         for number, template, step, window, signature in self.templates if len(marked) else ():
-            best = None
+            parts = []
             # windows start at multiples of a step; those with a marked shingle
             last = marked // step
             starts = np.unique(np.concatenate([last, last - 1])) * step
@@ -162,24 +214,24 @@ class Scanner:
                 part = np.unique(values[start : start + window])
                 if not len(part) or not (minhash(part, len(signature)) == signature).any():
                     continue
-                share = len(np.intersect1d(part, template, assume_unique=True)) / len(template)
-                if share >= self.contained and (best is None or share > best[0]):
-                    at = start + np.flatnonzero(np.isin(values[start : start + window], template))
-                    best = (share, int(at[0]), int(at[-1]) + SHINGLE - 1)
-            if best:
-                found.append((number, *best))
+                if len(np.intersect1d(part, template, assume_unique=True)) / len(template) >= self.contained:
+                    parts.append(start + np.flatnonzero(np.isin(values[start : start + window], template)))
+            if parts:
+                found += [(number, *place) for place in self._places(values, number, template, parts)]
         by_width = {width: shingles(h, width) for width in self.widths}
         for number, width, value in self.short:
-            at = np.flatnonzero(by_width[width] == value)
-            if len(at):
-                found.append((number, 1.0, int(at[0]), int(at[0]) + width - 1))
+            end = 0
+            for at in np.flatnonzero(by_width[width] == value).tolist():
+                if at >= end:
+                    end = at + width
+                    found.append((number, 1.0, at, end - 1))
         return found
 
 
 def license_scan(
     docs: DataFrame, text: str = "text", templates=TEMPLATES, keep: list[str] | None = None
 ) -> DataFrame:
-    """A row for each row of ``docs`` and template that it holds: license, template, containment, first_word, last_word.
+    """A row for each row of ``docs`` and place of a template in it: license, template, containment, first_word, last_word.
 
     Words are numbered from 0, those of nothing but punctuation or comment marks left out.
     """

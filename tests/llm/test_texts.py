@@ -218,6 +218,27 @@ def test_license_scan_reads_comments(spark, first, mark, last):
     assert got >= {(i, name) for i, (_, name, _) in enumerate(licenses.NOTICES)}
 
 
+def test_license_scan_gives_each_place():
+    names = [name for _, name, _ in licenses.NOTICES]
+    scanner = licenses.Scanner(licenses.NOTICES)
+    for number, (_, name, template) in enumerate(licenses.NOTICES):
+        ws = template.split(" ")
+        edited = " ".join(["other", *ws[1:]]) if len(ws) > 20 else template
+        third = len(ws) // 3
+        turned = " ".join(ws[-third:] + ws[third:-third] + ws[:third]) if len(ws) > 45 else template
+        copies = [template, template, edited, template, turned, template]
+        for gap in ("", prose(7, 1), prose(90, 2)):
+            text, at, want = prose(11, 3), 11, []
+            for copy in copies:
+                want.append(at)
+                text += f" {copy} {gap}"
+                at += len(ws) + len(gap.split())
+            got = [(share, first, last) for k, share, first, last in scanner.scan(text) if names[k] == name]
+            assert len(got) == len(copies), (name, gap, got)
+            assert [x[1:] for x in got[:2]] == [(first, first + len(ws) - 1) for first in want[:2]]
+            assert all(x[0] == 1 for x in got[:2]) and all(a[2] < b[1] for a, b in zip(got, got[1:]))
+
+
 def test_license_query_finds_the_reserved_rights(spark):
     held = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").filter("text ILIKE '%all rights reserved%'").collect()}
     found = {r.doc_id for r in queries.op4_license_scan(spark, SF).filter("template = 'all rights reserved'").collect()}

@@ -6,7 +6,7 @@ passed up and then down the tree give every node's marginal exactly; the text of
 potentials are frequencies counted on the labelled pages of ``labelled_pages``, smoothed.
 
 Inline elements belong to their block, so a link or an emphasis within a sentence is never dropped. What is no text on a page (scripts,
-styles, comments, titles, form controls) is left out by its kind.
+styles, comments, titles, form controls) is left out by its kind. Formulas, drawings and what stands in for media, frames or scripts are text like any other.
 
 Each page is extracted by itself in its task: no shuffle, bounded memory, and the parser and the messages are loops, so no depth is too
 deep. Defined results: a null or empty page, or one without main text, gives an empty text. Broken markup is read as far as it goes, an unfinished tag at
@@ -37,9 +37,9 @@ SECTIONS = set("div section article main header footer nav aside form fieldset d
 #: How far a node's looks are trusted: its features aren't independent, as their product supposes.
 TRUST = 0.6
 #: Elements whose content is no text of the page.
-SILENT = set("head title script style noscript template svg math textarea select option button iframe object canvas audio video".split())
+SILENT = set("head title script style template textarea select option button".split())
 #: Of these, those whose content isn't markup.
-RAW = set("script style title textarea iframe noscript".split())
+RAW = set("script style title textarea".split())
 EMPTY = set("area base br col embed hr img input link meta param source track wbr".split())
 #: An open element of the first kind ends where one of the second begins.
 ENDED_BY = {

@@ -107,6 +107,16 @@ def test_main_text(source, want):
     assert htmltext.trained().main_text(source) == want
 
 
+@pytest.mark.parametrize("tag", "math object audio video canvas svg noscript iframe".split())
+def test_main_text_of_embedded_elements(tag):
+    text = "A sentence of the article with quite a few words in it."
+    inner = f"<p>{text}</p><p>Before <{tag}><span>within it</span></{tag}> after.</p>"
+    want = f"{text} Before within it after."
+    assert htmltext.trained().main_text(CHROME.format(f"<article>{inner}</article>")) == want
+    menu = f"<nav class=menu><{tag}><a href=x>Home</a></{tag}></nav><article>{inner}</article>"
+    assert htmltext.trained().main_text(CHROME.format(menu)) == want
+
+
 def test_pages_give_their_articles(spark):
     import re
 

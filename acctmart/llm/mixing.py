@@ -274,16 +274,19 @@ def draws(
     return met.select(*[F.col(f"`{c}`") for c in carried], "size", "source_size", "target", placed.alias("draws"))
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, place: str | None = None, **options) -> DataFrame:
     """The mix: each row of ``docs`` as often as it is taken, with its ``shard``, dealt to the shards and ordered within them.
 
-    The rows of a shard are shuffled in pieces, by the leading bits of their place, so that a shard may be larger than a task.
+    The rows are dealt by ranges of shard and place, so that a shard may be larger than a task and its pieces follow each other in order:
+    partitions, and the files written of them, by their number hold the shards one after the other, each in its order. ``place`` names a column
+    that orders the rows of a shard where that is lost, as when files are read in another order.
     """
     drawn = draws(docs, **options)
     rows = drawn.withColumn("_draw", F.explode("draws")).withColumn("shard", F.col("_draw.shard"))
+    carried = [c for c in drawn.columns if c in docs.columns and c != place]
     return (
         rows.withColumn("_place", F.col("_draw.place"))
-        .repartition("shard", F.shiftright("_place", 48))
+        .repartitionByRange("shard", "_place")
         .sortWithinPartitions("shard", "_place")
-        .select(*[c for c in drawn.columns if c in docs.columns], "shard")
+        .select(*carried, "shard", *([F.col("_place").alias(place)] if place else []))
     )

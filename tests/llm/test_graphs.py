@@ -242,6 +242,17 @@ def test_mix_rows(spark):
     assert Counter((r.doc_id, r.text) for r in got.collect()) == +want
 
 
+def test_mix_keeps_the_order_of_a_shard(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    docs = spark.createDataFrame([(k, prose(20, k), f"s{k % 3}") for k in range(900)], "doc_id long, text string, source string")
+    want = sorted((d.shard, d.place, r.doc_id) for r in mixing.draws(docs, block_docs=50, shards=2).collect() for d in r.draws)
+    got = mixing.mix(docs, place="at", block_docs=50, shards=2)
+    assert got.columns == [*docs.columns, "shard", "at"] and got.rdd.getNumPartitions() > 2
+    # in the order of the partitions, the pieces of a shard follow each other
+    assert [(r.shard, r.at, r.doc_id) for r in got.collect()] == want
+    assert [r.doc_id for r in mixing.mix(docs, block_docs=50, shards=2).collect()] == [d for _, _, d in want]
+
+
 def turns():
     rows = []
     for k in range(6):

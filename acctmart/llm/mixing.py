@@ -2,8 +2,9 @@
 
 Documents fall into blocks per source by a hash of their id. A source whose target is T words of its S is
 passed over T div S times in full; of the last pass it gives blocks in a permuted order up to its target, and of
-the block in which the target falls, documents in a permuted order as far as they fit. So a document is taken whole, zero to
-``cap`` times, and a source's words miss its target by less than the smallest document left out of that block.
+the block in which the target falls, documents in a permuted order as far as they fit; what is left then goes to the documents of the next
+blocks that fit into it, in rounds. So a document is taken whole, zero to ``cap`` times, and a source's words miss its target by less than
+the smallest document left out of its last pass (all rows of one id in a source counting as one).
 
 The blocks taken are dealt to the output shards by a multivariate-hypergeometric splitting tree: a node splits its exact
 block counts per source between its halves as if all its blocks were shuffled (selection sampling on the counts), down to the
@@ -28,7 +29,7 @@ from acctmart.llm.common import cut, let, meet, words
 
 #: Weights of the sources in their order, repeated.
 WEIGHTS = (3, 1, 2)
-#: Blocks per source are as many as make all documents ``BLOCK_DOCS`` to a block, within a bound: beyond it blocks grow.
+#: Blocks of a source are as many as make its documents ``BLOCK_DOCS`` to a block, within a bound: beyond it blocks grow.
 #: The mix's size as a share of all words, and the most times a source is used.
 SHARE, CAP = 1.5, 2.0
 BLOCK_DOCS, MOST_BLOCKS, SHARDS, SEED = 500, 65_536, 64, 7
@@ -153,7 +154,7 @@ def shard_quotas(counts: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
 
 
 def _fitting(docs: Column, left: Column) -> Column:
-    """Of (lot, size), in the order of lots, those that fit into what is left after those before."""
+    """Of (lot, size), in the order of lots, those that fit into what is left after those before; and what is left at the end."""
 
     def step(state: Column, doc: Column) -> Column:
         fits = (doc["size"] > 0) & (doc["size"] <= state["left"])
@@ -163,7 +164,43 @@ def _fitting(docs: Column, left: Column) -> Column:
         )
 
     start = F.struct(left.cast("double").alias("left"), F.array().cast("array<bigint>").alias("lots"))
-    return F.aggregate(F.sort_array(docs), start, step, lambda s: s["lots"])
+    return F.aggregate(F.sort_array(docs), start, step)
+
+
+def _fill(docs: DataFrame) -> DataFrame:
+    """(source, block, turn, rest, lots) from (source, block, turn, left, lot, size): the lots of a block that fit into its left."""
+    return (
+        docs.groupBy("source", "block", "turn", "left")
+        .agg(F.collect_list(F.struct("lot", "size")).alias("docs"))
+        .withColumn("fit", _fitting(F.col("docs"), F.col("left")))
+        .select("source", "block", "turn", F.col("fit.left").alias("rest"), F.col("fit.lots").alias("lots"))
+    )
+
+
+def _fill_on(first: DataFrame, lots: DataFrame) -> DataFrame:
+    """``first``, the blocks in which the targets fall, and the later blocks with lots that fit into what is left.
+
+    ``lots`` has (source, block, turn, lot, size) of the later blocks. A round takes, of the lots that fit into the rest by themselves, all of the
+    first blocks as far as their sum fits, and of the block after these as many as fit; the next round goes on behind it with what is
+    left. A task folds the lots of one block.
+    """
+    filled = first
+    ends = first.select("source", F.col("turn").alias("after"), "rest")
+    fits = (F.col("turn") > F.col("after")) & (F.col("size") > 0) & (F.col("size") <= F.col("rest"))
+    lots = cut(meet(lots, ends, "source").filter(fits).drop("after", "rest"))
+    before = Window.partitionBy("source").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    while not lots.isEmpty():
+        open_ = meet(lots, ends, "source").filter(fits)
+        sums = open_.groupBy("source", "block", "turn", "rest").agg(F.sum("size").alias("words"))
+        left = F.col("rest") - F.coalesce(F.sum("words").over(before), F.lit(0))
+        # of sums that only rise, those beyond the first one that doesn't fit have nothing left
+        some = sums.withColumn("left", left).filter("left > 0").select("source", "block", "left")
+        got = cut(_fill(meet(open_.drop("after", "rest"), some, "source", "block")))
+        if got.isEmpty():
+            break
+        filled = filled.unionByName(got)
+        ends = cut(got.groupBy("source").agg(F.max("turn").alias("after"), F.max_by("rest", "turn").alias("rest")))
+    return filled
 
 
 def draws(
@@ -184,7 +221,7 @@ def draws(
 
     ``place`` orders the documents within their shard.
     """
-    added = {"size", "source_size", "target", "draws", "_source", "_lot", "_block", "_passes", "_drawn", "_lots"}
+    added = {"size", "source_size", "target", "draws", "_source", "_lot", "_block", "_passes", "_drawn", "_lots", "_blocks"}
     carried = [c for c in (docs.columns if keep is None else keep) if c not in added]
     size = F.size(words(F.col(f"`{text}`"))).cast("long")
     lot = F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`"))
@@ -195,10 +232,14 @@ def draws(
         sized = cut(rows.select("_source", "_lot", "size"))
     else:
         sized = rows = cut(rows)  # the sizes are all that is left of the texts
-    blocks = min(max(1, -(-sized.count() // block_docs)), most_blocks)
-    block = F.pmod(F.xxhash64(F.lit("block"), F.col("_lot")), F.lit(blocks))
-    rows = rows.withColumn("_block", block)
-    sized = sized.select(F.col("_source").alias("source"), block.alias("block"), F.col("_lot").alias("lot"), "size")
+    blocks = F.least(F.ceil(F.count("*") / block_docs), F.lit(most_blocks)).cast("long")
+    # a row per source, as in the splitting tree: every task can hold it
+    blocks = F.broadcast(cut(sized.groupBy("_source").agg(blocks.alias("_blocks"))))
+    block = F.pmod(F.xxhash64(F.lit("block"), F.col("_lot")), F.col("_blocks"))
+    rows = meet(rows, blocks, "_source").withColumn("_block", block).drop("_blocks")
+    sized = meet(sized, blocks, "_source").select(
+        F.col("_source").alias("source"), block.alias("block"), F.col("_lot").alias("lot"), "size"
+    )
     per_block = cut(sized.groupBy("source", "block").agg(F.sum("size").alias("words")))
     totals = per_block.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = cut(_targets(totals, weights, share, cap))
@@ -208,18 +249,20 @@ def draws(
         .withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int"))
         .withColumn("left", F.col("target") - F.col("passes") * F.col("source_size"))
         .withColumn("left", F.col("left") - F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("turn", F.row_number().over(order))
         .withColumn("part", F.when(F.col("words") <= F.col("left"), "all").when(F.col("left") > 0, "some").otherwise("none"))
     )
     last = cut(last)
-    partly = last.filter("part = 'some'").select("source", "block", "left")
-    fitting = (
-        meet(sized, partly, "source", "block")
-        .groupBy("source", "block", "left", "lot")
-        .agg(F.sum("size").alias("size"))
-        .groupBy("source", "block", "left")
-        .agg(F.collect_list(F.struct("lot", "size")).alias("docs"))
-        .select("source", "block", _fitting(F.col("docs"), F.col("left")).alias("lots"))
-    )
+    def lots_of(chosen: DataFrame) -> DataFrame:
+        names = chosen.columns
+        return meet(sized, chosen, "source", "block").groupBy(*names, "lot").agg(F.sum("size").alias("size"))
+
+    first = cut(_fill(lots_of(last.filter("part = 'some'").select("source", "block", "turn", "left"))))
+    later = lots_of(last.filter("part = 'none' AND left < 0").select("source", "block", "turn"))
+    fitting = _fill_on(first, later).filter(F.size("lots") > 0).select("source", "block", "lots")
+    last = meet(last.drop("turn"), fitting, "source", "block", how="left")
+    # a block in which nothing fits isn't drawn in the last pass
+    last = cut(last.withColumn("part", F.when(F.col("lots").isNotNull(), "some").when(F.col("part") == "all", "all").otherwise("none")))
     # a unit is one drawing of a block; each source's units stand in a permuted order, pass by pass
     times = F.col("passes") + (F.col("part") != "none").cast("int")
     passes = F.when(times > 0, F.sequence(F.lit(0), times - 1))
@@ -246,7 +289,7 @@ def draws(
         .groupBy("source", "block")
         .agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("drawn"))
     )
-    plan = meet(meet(last, dealt, "source", "block", how="left"), fitting, "source", "block", how="left")
+    plan = meet(last, dealt, "source", "block", how="left")
     plan = cut(
         plan.select(
             F.col("source").alias("_source"),

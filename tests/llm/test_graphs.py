@@ -242,6 +242,23 @@ def test_mix_rows(spark):
     assert Counter((r.doc_id, r.text) for r in got.collect()) == +want
 
 
+@pytest.mark.parametrize("block_docs", [1, 40])
+def test_mix_fills_on_with_the_next_blocks(spark, block_docs):
+    rows = [(k, prose(1 + k * k % 61 if k % 50 else 2000, k), f"s{k % 4}") for k in range(400)]
+    rows += [(None, prose(30, k), "s0") for k in range(40)] + [(7, prose(9, k), None) for k in range(5)] + [(8, "one word", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mixing.draws(docs, block_docs=block_docs).collect()
+    taken, lots, times = Counter(), Counter(), {}
+    for r in got:
+        taken[r.source] += r.size * len(r.draws)
+        lots[r.source, r.doc_id] += r.size
+        times.setdefault((r.source, r.doc_id), set()).add(len(r.draws))
+    assert all(len(t) == 1 for t in times.values())
+    for source, size, target in {(r.source, r.source_size, r.target) for r in got}:
+        out = [lots[k] for k, (n,) in times.items() if k[0] == source and n <= target // size]
+        assert 0 <= target - taken[source] < min(out, default=1)
+
+
 def test_mix_keeps_the_order_of_a_shard(spark, conf):
     conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     docs = spark.createDataFrame([(k, prose(20, k), f"s{k % 3}") for k in range(900)], "doc_id long, text string, source string")

@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctmart.llm.common import cut
+from acctmart.llm.common import cut, digest, held
 from acctmart.llm.pretokens import PATTERN
 from acctmart.llm.runs import CHUNK_BYTES, ascending, chunked, gaps, pack, streamed, unpack
 from acctmart.llm.token_counts import byte_characters
@@ -38,6 +38,8 @@ BUCKET_BITS = 6
 #: Runs that meet in one merge, and chunks whose runs meet one copy of a bucket's counts.
 FAN_IN = 64
 GROUP_CHUNKS = 1024
+#: Characters of texts that are aligned at once; their links wait for the rest of the chunk.
+PART_CHARS = 1 << 20
 ADDED = ("n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum")
 
 
@@ -76,75 +78,101 @@ class Aligner:
         n_a = max(ranks.values()) + 1
         self.a_length = np.array([len(self.a_bytes.get(k, b"")) for k in range(n_a)])
         self.b_length = np.array(list(map(len, self.b_bytes)))
-        # an id as text, followed by what ends it inside a group and at the group's end
-        self.a_text, self.b_text = ([np.array([f"{k}{e}" for k in range(n)], object) for e in ends] for n, ends in ((n_a, ",|"), (len(pieces), ",;")))
+        # an id as text, followed by what stands between ids of its group and by what ends its side of the group
+        self.a_text, self.b_text = (
+            np.array([f"{k}{e}" for k in range(size) for e in ends], object)
+            for size, ends in ((n_a, ",|"), (len(pieces), ",;"))
+        )
 
     def tokens(self, texts: list[str | None]) -> tuple[list, list]:
         """Ids of both sides; none where either side doesn't join to a space and the text."""
-        some = [t for t in texts if t]
-        found = iter(self.b.encode(some, num_threads=1))
-        all_a, all_b = [], []
+        import numpy as np
+
+        some = iter(self.b.encode([t for t in texts if t], num_threads=1))
+        none = np.array([], "i4")
+        sides: tuple[list, list] = [], []
         for text in texts:
-            a, b = [], []
+            a = b = none
             if text:
-                whole, ids = (" " + text).encode(), next(found)
+                whole, ids = (" " + text).encode(), next(some)
                 if b"".join(map(self.b_bytes.__getitem__, ids)) == whole:
-                    a = self.a.encode_ordinary(" " + text)
-                    if b"".join(map(self.a_bytes.__getitem__, a)) == whole:
-                        b = ids
-                    else:
-                        a = []
-            all_a.append(a)
-            all_b.append(b)
-        return all_a, all_b
+                    found = self.a.encode_ordinary(" " + text)
+                    if self.a.decode_bytes(found) == whole:
+                        a, b = np.array(found, "i4"), np.array(ids, "i4")
+            sides[0].append(a)
+            sides[1].append(b)
+        return sides
 
     def align(self, texts: list[str | None], bits: int) -> tuple[list[list], list[tuple]]:
         """Columns of the texts' rows, and a pair of runs per bucket."""
         import numpy as np
 
-        all_a, all_b = self.tokens(texts)
-        n, (n_a, n_b) = len(texts), ([len(x) for x in side] for side in (all_a, all_b))
-        a, b = (np.fromiter((k for x in side for k in x), "i8", sum(sizes)) for side, sizes in ((all_a, n_a), (all_b, n_b)))
-        # both sides of a document have the same bytes, so ends may run on through the chunk
+        columns: list[list] = [[] for _ in range(5)]
+        records, low, size = [], 0, 0
+        for k, text in enumerate(texts):
+            size += len(text or "")
+            if size >= PART_CHARS or k == len(texts) - 1:
+                more, pair, doc = self._part(texts[low : k + 1], bits)
+                for column, values in zip(columns, more):
+                    column += values
+                records.append(pair * len(texts) + (doc + low))
+                low, size = k + 1, 0
+        return columns, list(self._runs(np.concatenate(records), len(texts), bits))
+
+    def _part(self, texts: list[str | None], bits: int):
+        """Columns of some texts' rows, and their links: number of the pair, number of the text."""
+        import numpy as np
+
+        sides = self.tokens(texts)
+        n, (n_a, n_b) = len(texts), ([len(x) for x in side] for side in sides)
+        a, b = map(np.concatenate, sides)
+        # both sides of a text have the same bytes, so ends may run on from text to text
         a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        last = np.searchsorted(b_end, a_end)  # the B token that holds the last byte of each A token
+        first = np.searchsorted(b_end, a_end - self.a_length[a], "right")
+        a_cut = b_end[last] == a_end if len(b) else np.zeros(0, bool)
+        b_cut = np.zeros(len(b), bool)
+        b_cut[last[a_cut]] = True
+        times = last - first + 1
         doc_a = np.repeat(np.arange(n), n_a)
-        a_cut, b_cut = np.isin(a_end, b_end, assume_unique=True), np.isin(b_end, a_end, assume_unique=True)
-        ends = np.union1d(a_end, b_end)
-        link_a, link_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
-        doc = doc_a[link_a]
-        groups, links = np.bincount(doc_a[a_cut], minlength=n), np.bincount(doc, minlength=n)
+        groups = np.bincount(doc_a[a_cut], minlength=n)
+        links = np.bincount(doc_a, times, n).astype("i8")
         columns = [n_a, n_b, groups.tolist(), links.tolist(), self._texts(a, b, a_cut, b_cut, n_a, n_b)]
-        return columns, list(self._runs(a[link_a], b[link_b], doc, n, bits))
+        to_b = np.arange(times.sum()) + np.repeat(first - (np.cumsum(times) - times), times)
+        # bucket, rest of the A id, B id: ascending numbers are in bucket order, then A-major
+        a = a.astype("i8")
+        side = (a & ((1 << bits) - 1)) * self._high(bits) + (a >> bits)
+        return columns, np.repeat(side * len(self.b_length), times) + b[to_b], np.repeat(doc_a, times)
+
+    def _high(self, bits: int) -> int:
+        return (len(self.a_length) >> bits) + 1
 
     def _texts(self, a, b, a_cut, b_cut, n_a, n_b) -> list[str]:
         import numpy as np
 
-        # a group's A ids, then its B ids, each at its place in the text of the whole chunk
+        # a group's A ids, then its B ids, each at its place in the text of all
         a_group, b_group = np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut
         a_before, b_before = (np.concatenate([[0], np.flatnonzero(x) + 1]) for x in (a_cut, b_cut))
         out = np.empty(len(a) + len(b), object)
-        out[np.arange(len(a)) + b_before[a_group]] = np.where(a_cut, self.a_text[1][a], self.a_text[0][a])
-        out[np.arange(len(b)) + a_before[b_group + 1]] = np.where(b_cut, self.b_text[1][b], self.b_text[0][b])
+        out[np.arange(len(a)) + b_before[a_group]] = self.a_text[2 * a + a_cut]
+        out[np.arange(len(b)) + a_before[b_group + 1]] = self.b_text[2 * b + b_cut]
         out, at, texts = out.tolist(), 0, []
         for size in map(sum, zip(n_a, n_b)):
             texts.append("".join(out[at : at + size])[:-1])
             at += size
         return texts
 
-    def _runs(self, a, b, doc, n: int, bits: int):
+    def _runs(self, records, n: int, bits: int):
         import numpy as np
 
-        if not len(a):
+        if not len(records):
             return
-        # bucket, rest of the A id, B id: ascending numbers are in bucket order, then A-major
-        high, n_b = (len(self.a_length) >> bits) + 1, len(self.b_length)
-        pair = ((a & ((1 << bits) - 1)) * high + (a >> bits)) * n_b + b
-        record, times = np.unique(pair * n + doc, return_counts=True)
+        record, times = np.unique(records, return_counts=True)
         pair, doc = record // n, record % n
         first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
         docs = np.diff(np.append(first, len(pair)))
         pair = pair[first]
-        bucket = pair // (high * n_b)
+        bucket = pair // (self._high(bits) * len(self.b_length))
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(pair)]]).tolist()
         first = np.append(first, len(doc))
         for s, e in zip(cuts[:-1], cuts[1:]):
@@ -286,8 +314,10 @@ def align(
     with open(b_path, "rb") as f:
         files = docs.sparkSession.sparkContext.broadcast((load_byte_bpe(a_path), f.read()))
 
+    key = digest(a_path, b_path)
+
     def make():
-        aligner = Aligner(*files.value)
+        aligner = held("aligner", key, lambda: Aligner(*files.value))
         return lambda values: aligner.align(values[0], BUCKET_BITS)
 
     import sentencepiece

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 from collections.abc import Callable
@@ -51,6 +52,28 @@ def words(text: Column) -> Column:
     return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, r"[\x20\x09-\x0D]+"))
 
 
+_HELD: dict[str, tuple] = {}
+
+
+def held(kind: str, key: str, make: Callable):
+    """What ``make()`` gave for ``key`` last in this process; one value per kind is kept.
+
+    ``key`` must tell the content that the value is made of, such as a digest of a file.
+    """
+    if kind not in _HELD or _HELD[kind][0] != key:
+        _HELD[kind] = key, make()
+    return _HELD[kind][1]
+
+
+def digest(*paths: str) -> str:
+    """A digest of the content of files."""
+    total = hashlib.sha256()
+    for path in paths:
+        with open(path, "rb") as f:
+            total.update(hashlib.sha256(f.read()).digest())
+    return total.hexdigest()
+
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def find_package(df: DataFrame) -> None:
     """Python workers on this machine find the package where the driver did; elsewhere it is installed or shipped."""

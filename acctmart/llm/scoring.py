@@ -1,22 +1,23 @@
 """Language-model scores by deleted interpolation (operator 11).
 
-An n-gram model up to three words: the probability of a token is a mixture of four estimates, 1/(V+1) and the
-maximum-likelihood ones after no, one and two words. The mixture weights depend on how often the longest context known from
+The probability of a token is a mixture of 1/(V+1) and of the maximum-likelihood estimates after no word, one word, and so on
+up to ``order`` - 1 words. The mixture weights depend on how often the longest context known from
 training was seen, by powers of two, and are learned by expectation-maximisation: a tenth of the training texts is deleted from the
 counts, and the weights are those under which the deleted tokens are most likely by the rest's counts. The scores then
 use the counts of all training texts with these weights.
 
-How it runs: documents are read in chunks (``runs``). A chunk's n-grams are made distinct with their counts and sent as
-sorted runs of 62-bit hashes to buckets by the hash's first bits; a bucket adds up and answers each chunk with the corpus
-counts of its n-grams. So an n-gram that is a third of all tokens is one entry per chunk. The number of buckets grows with the number of
-tokens, so that a bucket holds about ``BUCKET_ENTRIES`` entries. Chunks with their counts are written to the checkpoint
-folder; what expectation-maximisation reads are the deleted tokens' estimates, and one small table of sums a pass
-reaches the driver. Nothing is capped, pruned or left out. Two n-grams are held for one if their 62-bit hashes agree: with
-10^9 different ones, one in about 10 corpora has such a pair.
+How it runs: documents are read in chunks (``runs``), the deleted ones in chunks of their own. A chunk's n-grams are made distinct with
+their counts and sent as sorted runs of 64-bit hashes to buckets by the hash's first bits; a bucket adds up and answers each chunk
+with the corpus counts of its n-grams. So an n-gram that is a third of all tokens is one entry per chunk. The number of buckets grows
+with the number of tokens, so that a bucket holds about ``BUCKET_ENTRIES`` entries. Chunks and answers are written to the checkpoint
+folder. Expectation-maximisation reads the estimates of the deleted tokens only, and one small table of sums a pass
+reaches the driver. Nothing is capped, pruned or left out. Two n-grams are held for one if their 64-bit hashes agree: with
+10^9 different ones, one in about 40 corpora has such a pair.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case, and a text ends with one end token, which a
-null or empty text has alone. Repeated rows are scored row by row, and learned from as often as they stand there. Rows whose ``train`` is null are learned from.
-Without training rows the base score is 0 for every text and so is the score. A column with the name of an added one gives way.
+null or empty text has alone. Repeated rows are scored row by row, and learned from as often as they stand there. Rows whose ``train`` is null
+are learned from. Without training rows the base score is 0 for every text and so is the score. A column with the name of an added one
+gives way.
 """
 
 from __future__ import annotations
@@ -27,18 +28,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctmart.llm.common import cut
-from acctmart.llm.runs import CHUNK_BYTES, ascending, chunked, gaps, pack, streamed, unpack
+from acctmart.llm.runs import ascending, chunked, gaps, pack, streamed, unpack
 
+#: Words of the longest n-gram.
+ORDER = 2
 #: Entries of runs that meet in one bucket.
 BUCKET_ENTRIES = 4_000_000
 LEAST_BUCKETS = 16
+#: Bytes of text in a chunk: the longer, the fewer n-grams stand in several.
+SCORE_CHUNK = 16 << 20
 #: Passes of expectation-maximisation, and the gain in log10 a token at which it ends.
 PASSES, LEAST_GAIN = 15, 1e-4
 ADDED = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-#: Contexts by order of the longest known one and the bits of its count.
-CONTEXTS = 3 * 64
-# flags of documents
-_OUT, _KEPT, _DELETED = 0, 1, 2
+#: Classes of contexts for each length of the longest known one: the binary digits of its count.
+CLASSES = 64
+_OUT, _KEPT, _DELETED = 0, 1, 2  # flags of documents
+_END, _BEGIN = 0, 1  # numbers of marks in a chunk's vocabulary
 
 
 def _mixed(x):
@@ -50,231 +55,237 @@ def _mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
-def _key(order: int, *hashes):
-    """Keys of n-grams given as arrays of word hashes; the last two bits tell the order."""
+def _longer(context, word):
+    """Hashes of n-grams from those of their contexts and last words."""
     import numpy as np
 
-    x = np.uint64(order)
-    for h in hashes:
-        x = _mixed(h + x * np.uint64(0x9E3779B97F4A7C15))
-    return (x & ~np.uint64(3)) | np.uint64(order)
+    return _mixed(context * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def _marks():
-    """Hashes of the begin and end marks: of blanks, which are in no word."""
-    import numpy as np
-    import xxhash
+class _Numbers(dict):
+    """Numbers of words in the order in which they come first."""
+
+    def __missing__(self, word):
+        self[word] = number = len(self)
+        return number
 
-    return [np.array([xxhash.xxh64_intdigest(m)], "u8") for m in (b"\t", b"\n")]
+
+#: The marks stand in the vocabulary as blanks, which are in no word.
+_MARKS = (b"\n", b"\t")
 
 
 def _state(texts: list[str | None], flags: list[int]) -> tuple[bytes, list[int]]:
-    """A chunk's words by number: hashes of its vocabulary, numbers, lengths and flags of its documents."""
+    """Hashes of the texts' vocabulary, their words by number, their lengths and flags."""
     import numpy as np
     import xxhash
 
-    numbers: dict[bytes, int] = {b"\n": 0}
+    numbers = _Numbers({mark: k for k, mark in enumerate(_MARKS)})
     ids, lengths = [], []
     for text in texts:
         words = (text or "").encode().lower().split()  # splits at space and the five ASCII control blanks
-        for word in words:
-            if word not in numbers:
-                numbers[word] = len(numbers)
-        ids += map(numbers.__getitem__, words)
-        ids.append(0)
+        ids.append(np.fromiter(map(numbers.__getitem__, words), "u4", len(words)))
+        ids.append(np.array([_END], "u4"))
         lengths.append(len(words) + 1)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), "u8", len(numbers))
-    return pack(hashes, np.array(ids, "u4"), np.array(lengths, "u4"), np.array(flags, "u1")), lengths
+    return pack(hashes, np.concatenate(ids), np.array(lengths, "u4"), np.array(flags, "u1")), lengths
 
 
 class Chunk:
-    """The n-grams of a chunk: of each token, and the distinct ones in the order of their keys."""
+    """The n-grams of a chunk by order: hashes of the distinct ones, ascending, and their numbers by token."""
 
-    def __init__(self, state: bytes):
+    def __init__(self, state: bytes, order: int):
         import numpy as np
 
-        hashes, ids, self.lengths, self.flags = unpack(state)
-        begin, _ = _marks()
-        self.lengths = self.lengths.astype("i8")
+        hashes, ids, lengths, self.flags = unpack(state)
+        self.lengths = lengths.astype("i8")
         self.starts = np.cumsum(self.lengths) - self.lengths
-        w = hashes[ids]
-        u, v = np.empty_like(w), np.empty_like(w)  # two words before, one word before
-        v[1:], u[2:] = w[:-1], w[:-2]
-        v[self.starts] = u[self.starts] = begin[0]
-        second = self.starts[self.lengths > 1] + 1
-        u[second] = begin[0]
-        self.n = len(w)
-        one, two = _key(1, begin), _key(2, begin, begin)
-        docs = len(self.lengths)
-        keys = np.concatenate(
-            [_key(1, w), _key(2, v, w), _key(3, u, v, w), np.repeat(one, docs), np.repeat(two, docs)]
-        )
-        # contexts: the n-gram one shorter, without the token
-        self.of_token = np.repeat(np.arange(docs), self.lengths)
-        order = np.argsort(keys, kind="stable")
-        ordered = keys[order]
-        fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-        self.keys, self.order, self.firsts = ordered[fresh], order, np.flatnonzero(fresh)
-        self.number = np.empty(len(keys), "i8")
-        self.number[order] = np.cumsum(fresh) - 1
-        self.begin = self.number[3 * self.n], self.number[3 * self.n + docs]
-
-    def counts(self):
-        """How often each distinct n-gram stands in kept and in deleted documents."""
+        ids, docs = ids.astype("i4"), len(lengths)
+        by_hash = np.argsort(hashes)
+        place = np.empty(len(hashes), "i4")
+        place[by_hash] = np.arange(len(hashes))
+        # of every order, the n-grams that end at each token, and those of nothing but begin marks
+        self.keys, self.number, self.begin = [hashes[by_hash]], [place[ids]], [int(place[_BEGIN])]
+        word, gram, only = hashes[ids], hashes[ids], hashes[_BEGIN]
+        for _ in range(1, order):
+            context = np.empty_like(gram)
+            context[1:] = gram[:-1]
+            context[self.starts] = only
+            gram = _longer(context, word)
+            only = _longer(np.array([only]), hashes[_BEGIN])[0]
+            found, number = np.unique(np.append(gram, only), return_inverse=True)
+            self.keys.append(found)
+            self.number.append(number[:-1])
+            self.begin.append(int(number[-1]))
+        self.docs = docs
+
+    def counts(self, flag: int) -> list:
+        """By order, how often each distinct n-gram stands in documents with the flag."""
         import numpy as np
 
-        flags = np.concatenate([np.tile(self.flags[self.of_token], 3), np.tile(self.flags, 2)])[self.order]
-        return [np.add.reduceat((flags == f).astype("i8"), self.firsts) for f in (_KEPT, _DELETED)]
+        wanted = np.repeat(self.flags == flag, self.lengths)
+        all_of = []
+        for keys, number, begin in zip(self.keys, self.number, self.begin):
+            counts = np.bincount(number[wanted], minlength=len(keys))
+            counts[begin] += int((self.flags == flag).sum())
+            all_of.append(counts)
+        return all_of
 
-    def estimates(self, totals):
-        """Of each token: class of its context, count, estimates after one and two words, by the given totals."""
+    def estimates(self, totals: list):
+        """Of each token: class of its context, count, and estimates after one and more words."""
         import numpy as np
 
-        n = self.n
-        c1, c2, c3 = (totals[self.number[k * n : (k + 1) * n]] for k in range(3))
-        # the word before is the token before, and its pair the pair that ends there
-        h2, h3 = np.empty_like(c1), np.empty_like(c1)
-        h2[1:], h3[1:] = c1[:-1], c2[:-1]
-        h2[self.starts], h3[self.starts] = totals[self.begin[0]], totals[self.begin[1]]
-        context = np.where(h3 > 0, 128 + _bits(h3), np.where(h2 > 0, 64 + _bits(h2), 0))
-        return context.astype("u1"), c1, c2 / np.maximum(h2, 1), c3 / np.maximum(h3, 1)
-
+        count = [t[n] for t, n in zip(totals, self.number)]
+        context, found = np.zeros(len(count[0]), "i8"), []
+        for k in range(1, len(totals)):
+            known = np.empty_like(count[0])
+            known[1:] = count[k - 1][:-1]
+            known[self.starts] = totals[k - 1][self.begin[k - 1]]
+            digits = np.frexp(known.astype("f8"))[1].clip(0, CLASSES - 1)
+            context = np.where(known > 0, CLASSES * k + digits, context)
+            found.append(count[k] / np.maximum(known, 1))
+        return context, count[0], found
 
-def _bits(counts):
-    """Binary digits of whole numbers, at most 63."""
-    import numpy as np
-
-    return np.frexp(counts.astype("f8"))[1].astype("i8").clip(0, 63)
 
+def _requests(bits: int, order: int):
+    """A unit's runs: by bucket, for each order the hashes, counts in kept and counts in deleted documents."""
 
-def _requests(bits: int):
     def run(rows):
         import numpy as np
 
-        for chunk, state in rows:
-            grams = Chunk(state)
-            kept, deleted = grams.counts()
-            bucket = (grams.keys >> np.uint64(64 - bits)).astype("i8")
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                yield chunk, int(bucket[a]), pack(gaps(grams.keys[a:b]), kept[a:b], deleted[a:b])
+        edges = np.arange(1, 1 << bits, dtype="u8") << np.uint64(64 - bits)
+        for unit, state in rows:
+            grams = Chunk(state, order)
+            kept, deleted = grams.counts(_KEPT), grams.counts(_DELETED)
+            cuts = [[0, *np.searchsorted(keys, edges).tolist(), len(keys)] for keys in grams.keys]
+            for bucket in range(1 << bits):
+                parts = []
+                for k, cut_at in enumerate(cuts):
+                    a, b = cut_at[bucket], cut_at[bucket + 1]
+                    parts += [gaps(grams.keys[k][a:b]), kept[k][a:b], deleted[k][a:b]]
+                yield unit, bucket, pack(*parts)
 
     return run
 
 
 def _answers(rows):
-    """Add up a bucket's runs; answer every chunk, and tell the number of words known from training."""
+    """Add up a bucket's runs; answer every unit, and tell the number of words known from training."""
     import numpy as np
+    import xxhash
 
-    begin, _ = _marks()
-    apart = _key(1, begin)[0]
-
-    def settle(bucket, chunks, runs):
-        runs = [unpack(r) for r in runs]
-        keys = np.concatenate([ascending(r[0]) for r in runs])
-        found, number = np.unique(keys, return_inverse=True)
-        totals = []
-        for k in (1, 2):
-            total = np.zeros(len(found), "i8")
-            np.add.at(total, number, np.concatenate([r[k] for r in runs]).astype("i8"))
-            totals.append(total)
-        known = ((found & np.uint64(3)) == 1) & (totals[0] + totals[1] > 0) & (found != apart)
-        yield -1, bucket, None, int(known.sum())
-        at = 0
-        for chunk, run in zip(chunks, runs):
-            part = number[at : at + len(run[0])]
-            at += len(run[0])
-            yield chunk, bucket, pack(totals[0][part], totals[1][part]), None
-
-    now, chunks, runs = None, [], []
-    for chunk, bucket, run in rows:
+    begin = np.uint64(xxhash.xxh64_intdigest(_MARKS[_BEGIN]))
+
+    def settle(bucket, units, runs):
+        runs = list(map(unpack, runs))
+        out = [[] for _ in runs]
+        for k in range(0, len(runs[0]), 3):
+            found, number = np.unique(np.concatenate([ascending(r[k]) for r in runs]), return_inverse=True)
+            totals = [np.zeros(len(found), "i8") for _ in range(2)]
+            for total, j in zip(totals, (k + 1, k + 2)):
+                np.add.at(total, number, np.concatenate([r[j] for r in runs]).astype("i8"))
+            if k == 0:
+                yield -1, bucket, None, int(((totals[0] + totals[1] > 0) & (found != begin)).sum())
+            at = 0
+            for answer, run in zip(out, runs):
+                part = number[at : at + len(run[k])]
+                at += len(run[k])
+                answer += [total[part] for total in totals]
+        for unit, answer in zip(units, out):
+            yield unit, bucket, pack(*answer), None
+
+    now, units, runs = None, [], []
+    for unit, bucket, run in rows:
         if bucket != now and runs:
-            yield from settle(now, chunks, runs)
-            chunks, runs = [], []
+            yield from settle(now, units, runs)
+            units, runs = [], []
         now = bucket
-        chunks.append(chunk)
+        units.append(unit)
         runs.append(run)
     if runs:
-        yield from settle(now, chunks, runs)
+        yield from settle(now, units, runs)
 
 
-def _counted(rows):
-    """Chunks with the corpus counts of their n-grams, and the estimates of their deleted tokens."""
+def _with_answers(rows, settle):
+    """``settle(unit, state, totals)`` of every unit, from its state followed by its answers in the order of buckets.
+
+    ``totals`` holds for each order the counts in kept and the counts in deleted documents.
+    """
     import numpy as np
 
-    def settle(chunk, state, answers):
-        totals = [np.concatenate(part).astype("i8") for part in zip(*map(unpack, answers))]
-        grams = Chunk(state)
-        deleted = (grams.flags == _DELETED)[grams.of_token]
-        events = [x[deleted] for x in grams.estimates(totals[0])] if deleted.any() else None
-        if events:
-            events = pack(events[0], events[1], *(x.astype("f4") for x in events[2:]))
-        return chunk, state, pack(totals[0] + totals[1]), events or None, None
+    def given(unit, state, answers):
+        columns = [np.concatenate(c).astype("i8") for c in zip(*map(unpack, answers))]
+        return settle(unit, state, list(zip(columns[::2], columns[1::2])))
 
     now, state, answers = None, None, []
-    for chunk, bucket, run, types in rows:
-        if chunk == -1:
-            yield -1, None, None, None, types
-            continue
-        if chunk != now and now is not None:
-            yield settle(now, state, answers)
-        if chunk != now:
-            now, answers = chunk, []
+    for unit, bucket, run in rows:
+        if unit != now and now is not None:
+            yield from given(now, state, answers)
+        if unit != now:
+            now, answers = unit, []
         if bucket == -1:
             state = run
         else:
             answers.append(run)
     if now is not None:
-        yield settle(now, state, answers)
+        yield from given(now, state, answers)
 
 
-def _mixture(weights, context, p0: float, p1, p2, p3):
-    """Shares of the four estimates in each token's probability."""
+def _events(order: int):
+    """Classes, counts and estimates of the tokens of deleted units, by the kept documents."""
+
+    def settle(_, state, totals):
+        context, c1, found = Chunk(state, order).estimates([kept for kept, _ in totals])
+        yield (pack(context, c1, *(p.astype("f4") for p in found)),)
+
+    return lambda rows: _with_answers(rows, settle)
+
+
+def _shares(weights, context, p0: float, *found):
+    """Shares of the estimates in each token's probability."""
     w = weights[context]
-    return w[:, 0] * p0, w[:, 1] * p1, w[:, 2] * p2, w[:, 3] * p3
+    return [w[:, 0] * p0, *(w[:, k + 1] * p for k, p in enumerate(found))]
 
 
-def start_weights():
+def start_weights(order: int = ORDER):
     """Equal weights of the estimates that a context allows."""
     import numpy as np
 
-    weights = np.zeros((CONTEXTS, 4))
-    for level in range(3):
-        weights[64 * level : 64 * level + 64, : level + 2] = 1 / (level + 2)
+    weights = np.zeros((CLASSES * order, order + 1))
+    for level in range(order):
+        weights[CLASSES * level : CLASSES * (level + 1), : level + 2] = 1 / (level + 2)
     return weights
 
 
-def learn_weights(events: DataFrame, tokens: int, types: int):
+def learn_weights(events: DataFrame, tokens: int, types: int, order: int = ORDER):
     """Weights by expectation-maximisation over the deleted tokens; ``tokens`` counts those that were kept."""
     import numpy as np
 
-    start = start_weights()  # counts as one token more, so that no weight reaches zero
+    start = start_weights(order)  # counts as one token more, so that no weight reaches zero
     weights, before = start.copy(), None
-    columns = "context int, s0 double, s1 double, s2 double, s3 double, n long, gain double"
+    sums = [f"s{k}" for k in range(order + 1)]
+    columns = "context int, " + ", ".join(f"{c} double" for c in sums) + ", n long, gain double"
     p0 = 1 / (types + 1)
     for _ in range(PASSES):
 
         def expected(rows, weights=weights):
-            sums, n, gain = np.zeros((CONTEXTS, 4)), np.zeros(CONTEXTS, "i8"), np.zeros(CONTEXTS)
+            total, n, gain = np.zeros_like(weights), np.zeros(len(weights), "i8"), np.zeros(len(weights))
             for (run,) in rows:
-                context, c1, p2, p3 = unpack(run)
-                shares = np.stack(_mixture(weights, context, p0, c1 / max(tokens, 1), p2, p3), axis=1)
+                context, c1, *found = unpack(run)
+                shares = np.stack(_shares(weights, context, p0, c1 / max(tokens, 1), *found), axis=1)
                 p = shares.sum(axis=1)
                 shares /= p[:, None]
-                for k in range(4):
-                    sums[:, k] += np.bincount(context, shares[:, k], CONTEXTS)
-                n += np.bincount(context, minlength=CONTEXTS)
-                gain += np.bincount(context, np.log10(p), CONTEXTS)
+                for k in range(order + 1):
+                    total[:, k] += np.bincount(context, shares[:, k], len(weights))
+                n += np.bincount(context, minlength=len(weights))
+                gain += np.bincount(context, np.log10(p), len(weights))
             for b in np.flatnonzero(n).tolist():
-                yield b, *sums[b].tolist(), int(n[b]), float(gain[b])
+                yield b, *total[b].tolist(), int(n[b]), float(gain[b])
 
-        found = streamed(events, expected, columns).groupBy("context").agg(
-            *(F.sum(c).alias(c) for c in ("s0", "s1", "s2", "s3", "n", "gain"))
-        ).collect()  # at most one row per context class
+        by_class = streamed(events, expected, columns).groupBy("context")
+        found = by_class.agg(*(F.sum(c).alias(c) for c in (*sums, "n", "gain"))).collect()  # one row a class
         if not found:
             break
         for r in found:
-            weights[r.context] = (start[r.context] + [r.s0, r.s1, r.s2, r.s3]) / (r.n + 1)
+            weights[r.context] = (start[r.context] + [r[c] for c in sums]) / (r.n + 1)
         likely = sum(r.gain for r in found) / sum(r.n for r in found)
         if before is not None and likely - before < LEAST_GAIN:
             break
@@ -283,22 +294,21 @@ def learn_weights(events: DataFrame, tokens: int, types: int):
     return np.array([[float(f"{w:.9g}") for w in row] for row in weights])
 
 
-def _scores(weights, tokens: int, types: int):
-    def run(rows):
-        import numpy as np
+def _scores(weights, tokens: int, types: int, order: int):
+    import numpy as np
 
-        p0 = 1 / (types + 1)
-        for chunk, state, counts in rows:
-            grams = Chunk(state)
-            context, c1, p2, p3 = grams.estimates(unpack(counts)[0].astype("i8"))
-            p1 = c1 / tokens if tokens else np.full(len(c1), p0)
-            p = np.log10(sum(_mixture(weights, context, p0, p1, p2, p3)))
-            base = np.log10((c1 + 1) / (tokens + types + 1))
-            sums = [np.add.reduceat(x, grams.starts).tolist() for x in ((c1 > 0).astype("i8"), base, p)]
-            for place, row in enumerate(zip(grams.lengths.tolist(), *sums)):
-                yield chunk, place, *row
+    p0 = 1 / (types + 1)
 
-    return run
+    def settle(unit, state, totals):
+        grams = Chunk(state, order)
+        context, c1, found = grams.estimates([kept + deleted for kept, deleted in totals])
+        p1 = c1 / tokens if tokens else np.full(len(c1), p0)
+        p = np.log10(sum(_shares(weights, context, p0, p1, *found)))
+        base = np.log10((c1 + 1) / (tokens + types + 1))
+        sums = [np.add.reduceat(x, grams.starts).tolist() for x in ((c1 > 0).astype("i8"), base, p)]
+        yield from zip([unit] * grams.docs, range(grams.docs), grams.lengths.tolist(), *sums)
+
+    return lambda rows: _with_answers(rows, settle)
 
 
 def lm_scores(
@@ -307,7 +317,8 @@ def lm_scores(
     deleted: Column | None = None,
     text: str = "text",
     keep: list[str] | None = None,
-    chunk_bytes: int = CHUNK_BYTES,
+    order: int = ORDER,
+    chunk_bytes: int = SCORE_CHUNK,
 ) -> DataFrame:
     """``docs`` with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
@@ -322,33 +333,44 @@ def lm_scores(
 
     def make():
         def run(values):
-            state, lengths = _state(*values)
-            sums = [sum(n for n, f in zip(lengths, values[1]) if f == wanted) for wanted in (_KEPT, _DELETED)]
-            return [], [(state, len(lengths), sum(lengths), *sums)]
+            places, units, made = [None] * len(values[0]), [None] * len(values[0]), []
+            for part, wanted in enumerate(((_OUT, _KEPT), (_DELETED,))):
+                some = [k for k, f in enumerate(values[1]) if f in wanted]
+                if some:
+                    flags = [values[1][k] for k in some]
+                    state, lengths = _state([values[0][k] for k in some], flags)
+                    trained = sum(n for n, f in zip(lengths, flags) if f != _OUT)
+                    made.append((part, state, sum(lengths), trained))
+                    for at, k in enumerate(some):
+                        places[k], units[k] = at, part
+            return [units, places], made
 
         return run
 
-    ddl = "state binary, docs long, tokens long, kept long, deleted long"
-    read = cut(chunked(docs, [F.col(f"`{text}`"), flag], keep, "", ddl, make, chunk_bytes))
-    states = read.where("place is null")
-    sums = states.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "kept", "deleted"))).first()
-    tokens = sums.kept + sums.deleted
-    bits = max(math.ceil(math.log2(max(3 * sums.tokens / BUCKET_ENTRIES, 1))), int(math.log2(LEAST_BUCKETS)))
-    asked = streamed(states.select("chunk", "state"), _requests(bits), "chunk long, bucket long, run binary")
-    answered = streamed(asked, _answers, "chunk long, bucket long, run binary, types long", ["bucket"])
-    homes = states.select("chunk", F.lit(-1).cast("long").alias("bucket"), F.col("state").alias("run"), F.lit(None).cast("long").alias("types"))
-    ddl = "chunk long, state binary, counts binary, events binary, types long"
-    counted = cut(streamed(homes.union(answered), _counted, ddl, ["chunk"], ["bucket"]))
-    types = counted.agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0]
-    # read once a pass, so without the chunks
-    events = cut(counted.where("events is not null").select("events"))
-    weights = learn_weights(events, sums.kept, types)
-    ddl = "chunk long, place int, n_tokens long, n_known long, base_score double, score double"
-    scored = streamed(
-        counted.where("chunk >= 0").select("chunk", "state", "counts"), _scores(weights, tokens, types), ddl
+    ddl = "part int, state binary, tokens long, trained long"
+    read = cut(chunked(docs, [F.col(f"`{text}`"), flag], keep, "of_part int, of_place int", ddl, make, chunk_bytes))
+    states = read.where("place is null").withColumn("unit", F.col("chunk") * 2 + F.col("part"))
+    by_part = {r.part: r for r in states.groupBy("part").agg(F.sum("tokens").alias("tokens"), F.sum("trained").alias("trained")).collect()}
+    tokens = sum(r.trained for r in by_part.values())
+    kept = by_part[0].trained if 0 in by_part else 0
+    entries = order * sum(r.tokens for r in by_part.values())
+    bits = max(math.ceil(math.log2(max(entries / BUCKET_ENTRIES, 1))), int(math.log2(LEAST_BUCKETS)))
+    asked = streamed(states.select("unit", "state"), _requests(bits, order), "unit long, bucket long, run binary")
+    answered = cut(streamed(asked, _answers, "unit long, bucket long, run binary, types long", ["bucket"]))
+    types = answered.agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0]
+    answers = answered.where("unit >= 0").select("unit", "bucket", "run")
+    homes = states.select("unit", F.lit(-1).cast("long").alias("bucket"), F.col("state").alias("run"))
+    only = lambda df: df.where(F.col("unit") % 2 == 1)
+    events = cut(streamed(only(homes).union(only(answers)), _events(order), "run binary", ["unit"], ["bucket"]))
+    weights = learn_weights(events, kept, types, order)
+    ddl = "unit long, at int, n_tokens long, n_known long, base_score double, score double"
+    scored = streamed(homes.union(answers), _scores(weights, tokens, types, order), ddl, ["unit"], ["bucket"])
+    rows = read.where("place is not null").select(
+        *[f"_{k}" for k in range(len(keep))],
+        (F.col("chunk") * 2 + F.col("of_part")).alias("unit"),
+        F.col("of_place").alias("at"),
     )
-    rows = read.where("place is not null").select("chunk", "place", *[f"_{k}" for k in range(len(keep))])
-    joined = rows.join(scored, ["chunk", "place"])
+    joined = rows.join(scored, ["unit", "at"])
     named = [F.col(f"_{k}").alias(c) for k, c in enumerate(keep)]
     return joined.select(
         *named, "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"

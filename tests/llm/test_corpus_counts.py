@@ -36,18 +36,19 @@ def tokens(text):
 class PlainModel:
     """The same model with dictionaries: counts by n-gram, weights by repeated passes."""
 
-    def __init__(self, kept, deleted):
+    def __init__(self, kept, deleted, order):
+        self.order = order
         self.kept, both = self.count(kept), self.count([*kept, *deleted])
         self.n_kept, self.types = sum(map(len, kept)), len({w for t in [*kept, *deleted] for w in t})
-        self.weights = scoring.start_weights()
-        start, before = scoring.start_weights(), None
+        start, before = scoring.start_weights(order), None
+        self.weights = start.copy()
         events = [e for t in deleted for e in self.events(t, self.kept)]
         for _ in range(scoring.PASSES):
             if not events:
                 break
             sums, n, gain = np.zeros_like(start), Counter(), 0.0
-            for context, c1, p2, p3 in events:
-                shares = self.weights[context] * [1 / (self.types + 1), c1 / max(self.n_kept, 1), p2, p3]
+            for context, c1, found in events:
+                shares = self.weights[context] * [1 / (self.types + 1), c1 / max(self.n_kept, 1), *found]
                 sums[context] += shares / shares.sum()
                 n[context] += 1
                 gain += math.log10(shares.sum()) / len(events)
@@ -58,48 +59,47 @@ class PlainModel:
             before = gain
         self.counts, self.n = both, sum(map(len, kept)) + sum(map(len, deleted))
 
-    @staticmethod
-    def count(texts):
+    def count(self, texts):
         counts = Counter()
         for t in texts:
-            t = ["\t", "\t", *t]
-            counts["\t",] += 1
-            counts["\t", "\t"] += 1
-            for i in range(2, len(t)):
-                for k in range(3):
+            t = ["\t"] * (self.order - 1) + t
+            for k in range(self.order):
+                counts[("\t",) * (k + 1)] += 1
+                for i in range(self.order - 1, len(t)):
                     counts[tuple(t[i - k : i + 1])] += 1
         return counts
 
-    @staticmethod
-    def events(t, counts):
-        t = ["\t", "\t", *t]
-        for i in range(2, len(t)):
-            u, v, w = t[i - 2 : i + 1]
-            h2, h3 = counts[v,], counts[u, v]
-            context = 128 + h3.bit_length() if h3 else 64 + h2.bit_length() if h2 else 0
-            yield context, counts[w,], counts[v, w] / max(h2, 1), counts[u, v, w] / max(h3, 1)
+    def events(self, t, counts):
+        t = ["\t"] * (self.order - 1) + t
+        for i in range(self.order - 1, len(t)):
+            context, found = 0, []
+            for k in range(1, self.order):
+                known = counts[tuple(t[i - k : i])]
+                context = 64 * k + known.bit_length() if known else context
+                found.append(counts[tuple(t[i - k : i + 1])] / max(known, 1))
+            yield context, counts[t[i],], found
 
     def score(self, t):
         total = 0.0
-        for context, c1, p2, p3 in self.events(t, self.counts):
+        for context, c1, found in self.events(t, self.counts):
             p1 = c1 / self.n if self.n else 1 / (self.types + 1)
-            total += math.log10(self.weights[context] @ [1 / (self.types + 1), p1, p2, p3])
+            total += math.log10(self.weights[context] @ [1 / (self.types + 1), p1, *found])
         return total
 
     def base(self, t):
         return sum(math.log10((self.counts[w,] + 1) / (self.n + self.types + 1)) for w in t)
 
 
-@pytest.mark.parametrize("clash", [False, True])
-def test_scores_equal_the_plain_model(spark, clash):
+@pytest.mark.parametrize(("clash", "order"), [(False, 2), (True, 3)])
+def test_scores_equal_the_plain_model(spark, clash, order):
     docs = odd_docs(spark, clash).withColumn("row", F.monotonically_increasing_id())
     docs = spark.createDataFrame(docs.collect(), docs.schema)
     train = F.col("row") % 4 != 1
     deleted = F.col("row") % 4 == 2
     rows = {r.row: r for r in docs.collect()}
     part = lambda wanted: [tokens(r.text) for k, r in rows.items() if k % 4 in wanted]
-    model = PlainModel(part({0, 3}), part({2}))
-    got = scoring.lm_scores(docs, train, deleted, chunk_bytes=20_000).collect()
+    model = PlainModel(part({0, 3}), part({2}), order)
+    got = scoring.lm_scores(docs, train, deleted, order=order, chunk_bytes=20_000).collect()
     assert len(got) == len(rows)
     for r in got:
         t = tokens(rows[r.row].text)
@@ -112,9 +112,10 @@ def test_scores_equal_the_plain_model(spark, clash):
     assert len(nothing) == len(rows) and all(r.score == r.base_score == 0 for r in nothing)
 
 
-def test_probabilities_add_up_to_one():
+@pytest.mark.parametrize("order", [2, 3])
+def test_probabilities_add_up_to_one(order):
     texts = [list("abcab"), list("abd"), list("cab"), list("ba"), list("e")]
-    model = PlainModel([[*t, "\n"] for t in texts[:4]], [[*t, "\n"] for t in texts[4:]])
+    model = PlainModel([[*t, "\n"] for t in texts[:4]], [[*t, "\n"] for t in texts[4:]], order)
     words = [w for w in "abcde"] + ["\n", "unknown"]
     for before in ("a", "ab", "abc", ""):
         p = [10 ** (model.score([*before, w]) - model.score([*before])) for w in words]

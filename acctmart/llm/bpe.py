@@ -19,15 +19,14 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from acctmart.llm.common import add_columns
-from acctmart.llm.pretokens import Memo, chunks, opens_with_blank, splitter
+from acctmart.llm.common import add_columns, digest, held
+from acctmart.llm.pretokens import PART_ROWS, Chunks, Memo, NotAlone, chunked_texts, in_parts, splitter
 
-#: Pairs of tokens that a task remembers before it starts anew.
-PAIR_ENTRIES = 400_000
+#: Pairs of tokens that each generation of a task's memo of pairs holds.
+PAIR_ENTRIES = 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -35,23 +34,23 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+#: Above any rank.
+_NO_RANK = 1 << 60
+
+
 def merged(piece: str, ranks: dict[str, int]) -> list[str]:
     """The tokens that merging by lowest rank, leftmost first, gives for a short piece."""
-    parts = list(piece)
-    found = [ranks.get(parts[i] + parts[i + 1]) for i in range(len(parts) - 1)]
-    while True:
-        best = None
-        for i, rank in enumerate(found):
-            if rank is not None and (best is None or rank < best):
-                best, at = rank, i
-        if best is None:
-            return parts
+    parts, rank = list(piece), ranks.get
+    found = [rank(a + b, _NO_RANK) for a, b in zip(parts, parts[1:])]
+    while found and (best := min(found)) != _NO_RANK:
+        at = found.index(best)
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
         del found[at]
         if at < len(found):
-            found[at] = ranks.get(parts[at] + parts[at + 1])
+            found[at] = rank(parts[at] + parts[at + 1], _NO_RANK)
         if at:
-            found[at - 1] = ranks.get(parts[at - 1] + parts[at])
+            found[at - 1] = rank(parts[at - 1] + parts[at], _NO_RANK)
+    return parts
 
 
 class Codec:
@@ -71,40 +70,38 @@ class Codec:
         self.shorter = {
             t: next((t[:k] for k in range(len(t) - 1, 0, -1) if t[:k] in made), None) for t in own
         }
+        self.by_id = None
         self.packed = {t: struct.pack("<I", rank) for t, rank in self.ranks.items()}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs = Memo(self._together, PAIR_ENTRIES, 2)
         self.split = splitter()
         self.by_token = Memo(self._token)
-        self.by_chunk = Memo(self._chunk)
+        self.by_chunk = Chunks(self._chunk, self.by_token)
 
-    def together(self, pair: tuple[str, str]) -> bool:
-        known = self.pairs.get(pair)
-        if known is None:
-            known = merged(pair[0] + pair[1], self.ranks) == [*pair]
-            if len(self.pairs) >= PAIR_ENTRIES:
-                self.pairs.clear()
-            self.pairs[pair] = known
-        return known
+    def _together(self, pair: tuple[str, str]) -> bool:
+        return merged(pair[0] + pair[1], self.ranks) == [*pair]
 
     def pieces(self, s: str) -> list[str]:
         """The tokens of one pre-token, its bytes written as Latin-1."""
         if s in self.ranks:
             return [s]
         greedy = [token for _, token in self.automaton.iter_long(s)]
-        for k in range(len(greedy) - 1):
-            if not self.together((greedy[k], greedy[k + 1])):
-                return self._search(s, greedy[: k + 1], greedy[k + 1])
+        pairs = self.pairs
+        for k, pair in enumerate(zip(greedy, greedy[1:])):
+            if not pairs[pair]:
+                return self._search(s, greedy[: k + 1], self.shorter[greedy[k + 1]])
         return greedy
 
     def _search(self, s: str, done: list[str], token: str | None) -> list[str]:
         """Continue after ``done``, whose neighbours go together, by trying ``token`` next."""
         at, end, dead = sum(map(len, done)), len(s), set()
+        pairs, shorter, longest = self.pairs, self.shorter, self.automaton.iter_long
         while True:
+            before = done[-1] if done else None
             while token is not None:
                 after = at + len(token)
-                if after not in dead and (not done or self.together((done[-1], token))):
+                if after not in dead and (before is None or pairs[before, token]):
                     break
-                token = self.shorter[token]
+                token = shorter[token]
             if token is None:
                 dead.add(at)
                 token = done.pop()
@@ -114,70 +111,83 @@ class Codec:
             at = after
             if at == end:
                 return done
-            token = next(self.automaton.iter_long(s, at))[1]
+            token = next(longest(s, at))[1]
 
     def _token(self, token: str) -> bytes:
-        packed = self.packed
-        return b"".join([packed[t] for t in self.pieces(token.encode().decode("latin-1"))])
+        spelled = token if token.isascii() else token.encode().decode("latin-1")
+        return b"".join(map(self.packed.__getitem__, self.pieces(spelled)))
 
     def _tokens(self, text: str) -> bytes:
         return b"".join(map(self.by_token.__getitem__, self.split(text)))
 
-    def _chunk(self, piece: str) -> bytes | None:
-        return None if opens_with_blank(piece) else self._tokens(" " + piece)
+    def _chunk(self, piece: str) -> bytes:
+        if piece.isalpha():  # one pre-token
+            return self._token(" " + piece)
+        if not piece or piece[0].isspace():
+            raise NotAlone
+        return self._tokens(" " + piece)
 
-    def encode(self, text: str) -> bytes:
-        pieces = chunks(text)
-        if pieces is not None:
-            first = pieces[0]
-            parts = [self._tokens(first), *map(self.by_chunk.__getitem__, pieces[1:])]
-            if None not in parts:
-                return b"".join(parts)
-        return self._tokens(text)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return in_parts(texts, self._encode)
 
-    def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, unpack(packed)))
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        import pyarrow as pa
 
+        results, codes, ends = chunked_texts(texts, self.by_chunk.__getitem__, self._tokens)
+        return _joined(pa.array(results, pa.large_binary()), codes, ends)
 
-def unpack(packed: bytes) -> Iterable[int]:
-    return memoryview(packed).cast("I") if len(packed) % 4 == 0 else struct.unpack("<I", packed)
+    def decode(self, packed: list[bytes]) -> list[bytes]:
+        """The bytes of each sequence of packed ids."""
+        import numpy as np
+        import pyarrow as pa
 
+        if not any(packed):
+            return [b""] * len(packed)
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        if self.by_id is None:
+            self.by_id = pa.array([self.tokens.get(k) for k in range(max(self.tokens) + 1)], pa.large_binary())
+        if ids.max() >= len(self.by_id):
+            raise ValueError("an id is not in the vocabulary")
+        return _joined(self.by_id, ids, np.cumsum([0, *(len(p) // 4 for p in packed)]))
 
-_CODECS: dict[int, Codec] = {}
 
+def _joined(values, places, ends) -> list[bytes]:
+    """Values taken at the places and joined, between each two of the ends."""
+    import numpy as np
+    import pyarrow as pa
 
-def _codec(shared) -> Codec:
-    key = id(shared.value)
-    if key not in _CODECS:
-        _CODECS[key] = Codec(shared.value)
-    return _CODECS[key]
+    taken = values.take(pa.array(places))
+    _, offsets, data = taken.buffers()
+    cuts = np.frombuffer(offsets, "<i8")[ends].tolist()
+    data = memoryview(data) if data is not None else b""
+    return [bytes(data[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def encode(
     docs: DataFrame, path: str, text: str = "text", decoded: bool = False, keep: list[str] | None = None
 ) -> DataFrame:
     """``docs`` with ``ids``, and with ``decoded`` also the bytes that these ids stand for."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_ranks(path))
+    shared, key = docs.sparkSession.sparkContext.broadcast(load_ranks(path)), digest(path)
 
     def make():
-        codec = _codec(shared)
+        codec = held("codec", key, lambda: Codec(shared.value))
 
         def run(texts):
-            ids = [codec.encode(t) if t else b"" for t in texts]
-            return (ids, [codec.decode(x) for x in ids]) if decoded else (ids,)
+            ids = codec.encode([t or "" for t in texts])
+            return (ids, codec.decode(ids)) if decoded else (ids,)
 
         return run
 
     added = "ids binary, decoded binary" if decoded else "ids binary"
-    return add_columns(docs, [text], added, make, keep)
+    return add_columns(docs, [text], added, make, keep, PART_ROWS)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``rows`` with ``decoded``, the bytes that packed ids stand for; null ids decode to no bytes."""
-    shared = rows.sparkSession.sparkContext.broadcast(load_ranks(path))
+    shared, key = rows.sparkSession.sparkContext.broadcast(load_ranks(path)), digest(path)
 
     def make():
-        codec = _codec(shared)
-        return lambda packed: ([codec.decode(x or b"") for x in packed],)
+        codec = held("codec", key, lambda: Codec(shared.value))
+        return lambda packed: (codec.decode([x or b"" for x in packed]),)
 
-    return add_columns(rows, [ids], "decoded binary", make, keep)
+    return add_columns(rows, [ids], "decoded binary", make, keep, PART_ROWS)

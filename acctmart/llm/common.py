@@ -90,6 +90,7 @@ def add_columns(
     added: str,
     make: Callable[[], Callable[..., list]],
     keep: list[str] | None = None,
+    rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """``df`` with columns computed in Arrow batches, a bounded slice of rows at a time.
 
@@ -110,8 +111,8 @@ def add_columns(
     def run(batches):
         function = make()
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(start, SLICE_ROWS)
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
                 got = function(*(part.column(width + k).to_pylist() for k in range(len(inputs))))
                 made = [pa.array(v, type=arrow.field(width + k).type) for k, v in enumerate(got)]
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in range(width)] + made, schema=arrow)

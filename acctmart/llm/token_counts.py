@@ -17,11 +17,13 @@ import json
 
 from pyspark.sql import DataFrame
 
-from acctmart.llm.common import add_columns
-from acctmart.llm.pretokens import Memo, chunks, opens_with_blank, splitter
+from acctmart.llm.common import add_columns, digest, held
+from acctmart.llm.pretokens import PART_ROWS, Chunks, Memo, NotAlone, chunked_texts, in_parts, splitter
 
-#: Above any number of tokens: the chunk can't be counted by itself.
-_NOT_ALONE = 1 << 60
+#: Above any rank of a merge.
+_NO_RANK = 1 << 60
+#: Symbols up to which looking through all pairs is faster than a heap.
+SHORT = 40
 
 
 def byte_characters() -> dict[int, str]:
@@ -31,11 +33,28 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def _merged_short(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """The same, looking through all pairs at each step."""
+    symbols, rank = list(symbols), ranks.get
+    found = [rank(pair, _NO_RANK) for pair in zip(symbols, symbols[1:])]
+    while found and (best := min(found)) != _NO_RANK:
+        at = found.index(best)
+        symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+        del found[at]
+        if at < len(found):
+            found[at] = rank((symbols[at], symbols[at + 1]), _NO_RANK)
+        if at:
+            found[at - 1] = rank((symbols[at - 1], symbols[at]), _NO_RANK)
+    return symbols
+
+
 def merged(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     """Apply the merges: always the pair of lowest rank, leftmost first, in n log n steps."""
     n = len(symbols)
     if n < 2:
         return symbols
+    if n <= SHORT:
+        return _merged_short(symbols, ranks)
     left, right = list(range(-1, n - 1)), list(range(1, n + 1))
     heap = [(r, i) for i in range(n - 1) if (r := ranks.get((symbols[i], symbols[i + 1]))) is not None]
     heapq.heapify(heap)
@@ -85,7 +104,7 @@ class Counter:
         self.letters = byte_characters()
         self.split = splitter()
         self.by_token = Memo(self._token)
-        self.by_chunk = Memo(self._chunk)
+        self.by_chunk = Chunks(self._chunk, self.by_token)
 
     def _token(self, token: str) -> int:
         if token in self.whole:
@@ -96,43 +115,42 @@ class Counter:
         return sum(map(self.by_token.__getitem__, self.split(text)))
 
     def _chunk(self, piece: str) -> int:
-        return _NOT_ALONE if opens_with_blank(piece) else self._tokens(" " + piece)
+        if piece.isalpha():  # one pre-token
+            return self._token(" " + piece)
+        if not piece or piece[0].isspace():
+            raise NotAlone
+        return self._tokens(" " + piece)
 
-    def count(self, text: str) -> int:
-        if not text:
-            return 0
-        for mark in self.special:
-            if mark in text:
-                parts = text.split(mark)
-                return len(parts) - 1 + sum(map(self.count, parts))
-        pieces = chunks(text)
-        if pieces is not None:
-            first = pieces[0]
-            n = (self._tokens(first) if first else 0) + sum(map(self.by_chunk.__getitem__, pieces[1:]))
-            if n < _NOT_ALONE and not (not first and len(pieces) > 1 and opens_with_blank(pieces[1])):
-                return n
-        return self._tokens(text)
+    def count(self, texts: list[str]) -> list[int]:
+        return in_parts(texts, self._count)
 
+    def _count(self, texts: list[str]) -> list[int]:
+        import numpy as np
 
-_COUNTERS: dict[int, Counter] = {}
+        for mark in self.special:
+            if any(mark in t for t in texts):
+                parts = [t.split(mark) for t in texts]
+                counts = iter(self._count([p for some in parts for p in some]))
+                return [len(some) - 1 + sum(next(counts) for _ in some) for some in parts]
+        results, codes, ends = chunked_texts(texts, self.by_chunk.__getitem__, self._tokens)
+        numbers = np.array([r or 0 for r in results], "i8")
+        return np.add.reduceat(numbers[codes], ends[:-1]).tolist()
 
 
 def token_counts(
     docs: DataFrame, path: str, text: str = "text", limit: int = 512, keep: list[str] | None = None
 ) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_tokens`` and ``over_limit`` (more than ``limit`` tokens)."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+    vocabulary, key = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path)), digest(path)
 
     def make():
-        counter = _COUNTERS.get(id(vocabulary.value)) or _COUNTERS.setdefault(
-            id(vocabulary.value), Counter(vocabulary.value)
-        )
+        counter = held("counter", key, lambda: Counter(vocabulary.value))
 
         def run(texts):
             texts = [t or "" for t in texts]
-            counts = [counter.count(t) for t in texts]
+            counts = counter.count(texts)
             return [len(t.encode()) for t in texts], counts, [n > limit for n in counts]
 
         return run
 
-    return add_columns(docs, [text], "n_bytes long, n_tokens long, over_limit boolean", make, keep)
+    return add_columns(docs, [text], "n_bytes long, n_tokens long, over_limit boolean", make, keep, PART_ROWS)

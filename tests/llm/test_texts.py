@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import struct
 
 import public_tokenizers as P
 import pytest
@@ -106,10 +107,10 @@ def test_bpe_equals_the_library():
     ranks = bpe.load_ranks(RANKS)
     codec = bpe.Codec(ranks)
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    for text in fuzz():
-        ids = codec.encode(text)
-        assert list(bpe.unpack(ids)) == library.encode_ordinary(text)
-        assert codec.decode(ids) == text.encode()
+    texts = fuzz()
+    for text, ids in zip(texts, codec.encode(texts), strict=True):
+        assert list(memoryview(ids).cast("I")) == library.encode_ordinary(text)
+        assert codec.decode([ids]) == [text.encode()]
 
 
 def test_token_counts_equal_the_library():
@@ -119,16 +120,29 @@ def test_token_counts_equal_the_library():
     library = Tokenizer.from_file(JSON)
     texts = fuzz()
     want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
-    assert [counter.count(t) for t in texts] == want
+    assert counter.count(texts) == want and counter.count([]) == []
 
 
 def test_memos_start_anew_and_stay_right():
     codec = bpe.Codec(bpe.load_ranks(RANKS))
-    text = prose(3000, 8)
-    want = codec.encode(text)
-    codec.by_chunk.entries = codec.by_token.entries = 10
-    codec.by_chunk.clear(), codec.by_token.clear()
-    assert codec.encode(text) == want and len(codec.by_chunk) <= 10
+    texts = [prose(3000, 8), "  ", "éa, b\nc!? d\n\ne"] * 3
+    want = codec.encode(texts)
+    for memo in (codec.by_chunk, codec.by_token, codec.pairs):
+        memo.entries = 10
+        memo.clear()
+    assert codec.encode(texts) == want and len(codec.by_chunk) <= 10
+
+
+def test_vocabularies_of_one_process_stay_apart(spark):
+    """One after the other in the same workers, also where the first one is gone."""
+    import tiktoken
+
+    docs = odd_docs(spark)
+    for _ in range(2):
+        for path in (RANKS, P.path("byte_bpe_50k.tiktoken")):
+            library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+            for r in bpe.encode(docs, path).collect():
+                assert list(memoryview(r.ids).cast("I")) == library.encode_ordinary(r.text or "")
 
 
 @pytest.mark.parametrize("clash", [False, True])
@@ -137,7 +151,7 @@ def test_coding_odd_rows(spark, clash):
     coded = bpe.encode(docs, RANKS).collect()
     assert len(coded) == docs.count()
     codec = bpe.Codec(bpe.load_ranks(RANKS))
-    assert all(r.ids == codec.encode(r.text or "") for r in coded)
+    assert [r.ids for r in coded] == codec.encode([r.text or "" for r in coded])
     back = bpe.decode(bpe.encode(docs, RANKS, keep=["doc_id", "text"]), RANKS).collect()
     assert all(r.decoded == (r.text or "").encode() for r in back)
     counts = token_counts.token_counts(docs, JSON).collect()
@@ -145,13 +159,23 @@ def test_coding_odd_rows(spark, clash):
     assert bpe.encode(no_docs(spark), RANKS).count() == token_counts.token_counts(no_docs(spark), JSON).count() == 0
 
 
-def test_digests(spark):
-    codec = bpe.Codec(bpe.load_ranks(RANKS))
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    for r in queries.op10_byte_bpe(spark, SF).collect():
-        ids = codec.encode(texts[r.doc_id])
-        assert r.n_tokens == len(ids) // 4 and r.ids_sha256 == hashlib.sha256(ids).hexdigest()
+def test_coding_whole_tables_equals_the_libraries(spark):
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op10_byte_bpe(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+    order = list(texts)
+    want = Tokenizer.from_file(JSON).encode_batch([texts[d] for d in order], add_special_tokens=False)
+    counts = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in queries.op9_token_counts(spark, SF).collect()}
+    assert counts == {d: (len(texts[d].encode()), len(e.ids), len(e.ids) > 512) for d, e in zip(order, want)}
 
 
 def plain_scan(text, contained=licenses.CONTAINED):

@@ -2,12 +2,15 @@
 
 from acctmart.operators.aggregates import (
     count_related,
+    date_aggregates,
     first_last_dates,
     has_related,
     join_text,
     join_texts,
     month_offset_pivot,
+    ordered_text,
 )
+from acctmart.operators.fused import FirstRow, fused, newest
 from acctmart.operators.joins import (
     assert_unique,
     attach,
@@ -20,6 +23,11 @@ from acctmart.operators.lookups import latest_status_count, lookup_name, top1_lo
 from acctmart.operators.newest import any_per_key, latest_per_key
 
 __all__ = [
+    "date_aggregates",
+    "FirstRow",
+    "fused",
+    "newest",
+    "ordered_text",
     "any_per_key",
     "assert_unique",
     "attach",

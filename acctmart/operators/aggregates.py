@@ -22,12 +22,18 @@ def first_last_dates(
 
     ``spec`` maps an output name to ``("min" | "max", codes)``.
     """
+    return df.groupBy(*as_list(key)).agg(*date_aggregates(code, date, spec))
+
+
+def date_aggregates(
+    code: str, date: str, spec: Mapping[str, tuple[str, Iterable[int]]]
+) -> list[Column]:
+    """Aggregates: first or last date per code set, as in :func:`first_last_dates`."""
     pick = {"min": F.min, "max": F.max}
-    aggs = [
+    return [
         pick[how](F.when(F.col(code).isin(*codes), F.col(date))).alias(name)
         for name, (how, codes) in spec.items()
     ]
-    return df.groupBy(*as_list(key)).agg(*aggs)
 
 
 def join_text(
@@ -88,12 +94,19 @@ def join_texts(
     }
     rows = df.select(*keys, rank.alias("__rank"), *[v.alias(f"__{n}") for n, v in values.items()])
 
-    def joined(name: str, sep: str) -> Column:
-        item = F.when(F.col(f"__{name}").isNotNull(), F.struct("__rank", f"__{name}"))
-        items = F.sort_array(F.collect_list(item))
-        return F.when(F.size(items) > 0, F.array_join(items[f"__{name}"], sep)).alias(name)
+    made = [
+        ordered_text(F.col(f"__{name}"), sep, F.col("__rank")).alias(name)
+        for name, (_, sep) in texts.items()
+    ]
+    return rows.groupBy(*keys).agg(*made)
 
-    return rows.groupBy(*keys).agg(*[joined(name, sep) for name, (_, sep) in texts.items()])
+
+def ordered_text(value: Column, sep: str, order_by: Column | None = None) -> Column:
+    """Aggregate: the known values as one text, by ``order_by`` and then by themselves; NULL if there are none."""
+    rank = F.lit(None).cast("string") if order_by is None else order_by
+    item = F.when(value.isNotNull(), F.struct(rank.alias("r"), value.cast("string").alias("v")))
+    items = F.sort_array(F.collect_list(item))
+    return F.when(F.size(items) > 0, F.array_join(items["v"], sep))
 
 
 def count_related(

@@ -5,11 +5,13 @@ from acctmart.operators.aggregates import (
     date_aggregates,
     first_last_dates,
     has_related,
+    join_long_text,
     join_text,
     join_texts,
     month_offset_pivot,
     ordered_text,
 )
+from acctmart.operators.as_of import newest_as_of, over_dates
 from acctmart.operators.fused import FirstRow, fused, newest
 from acctmart.operators.joins import (
     assert_unique,
@@ -23,6 +25,9 @@ from acctmart.operators.lookups import latest_status_count, lookup_name, top1_lo
 from acctmart.operators.newest import any_per_key, latest_per_key
 
 __all__ = [
+    "join_long_text",
+    "newest_as_of",
+    "over_dates",
     "date_aggregates",
     "FirstRow",
     "fused",

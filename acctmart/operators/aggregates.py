@@ -109,6 +109,67 @@ def ordered_text(value: Column, sep: str, order_by: Column | None = None) -> Col
     return F.when(F.size(items) > 0, F.array_join(items["v"], sep))
 
 
+_PIECE, _TEXT, _TIMES, _N = "__piece", "__text", "__times", "__n"
+
+
+def text_pieces(
+    df: DataFrame, key: str, value: Column | str, sep: str, piece_values: int, order_by: Column | None = None
+) -> DataFrame | None:
+    """(key, piece number, piece, values in it) of the keys with more than ``piece_values`` values; None if there is none.
+
+    Rows of such keys are dealt by ranges of their order, so that a key's values come to several tasks, each of which makes one
+    piece of about ``piece_values``. Equal values travel as one.
+    """
+    text = (F.col(value) if isinstance(value, str) else value).cast("string")
+    rank = F.lit(None).cast("string") if order_by is None else order_by
+    rows = df.select(key, rank.alias("__rank"), text.alias(_TEXT)).where(F.col(_TEXT).isNotNull())
+    large = rows.groupBy(key).agg(F.count(F.lit(1)).alias(_N)).where(F.col(_N) > piece_values)
+    total = large.agg(F.sum(_N)).first()[0]
+    if not total:
+        return None
+    of_large = large.withColumn("__same", F.col(key)).drop(key)
+    wanted = rows.join(of_large.select("__same"), F.col(key).eqNullSafe(F.col("__same"))).drop("__same")
+    equal = wanted.groupBy(key, "__rank", _TEXT).agg(F.count(F.lit(1)).alias(_TIMES))
+    dealt = equal.repartitionByRange(-(-total // piece_values), key, "__rank", _TEXT)
+    # a row's copies are one item, with the separator between them
+    item = F.concat(F.col(_TEXT), F.expr(f"repeat(concat({_literal(sep)}, {_TEXT}), cast({_TIMES} - 1 AS int))"))
+    in_order = F.sort_array(F.collect_list(F.struct(F.col("__rank"), F.col(_TEXT), item.alias("i"))))
+    return dealt.groupBy(key, F.spark_partition_id().alias(_PIECE)).agg(
+        F.array_join(in_order["i"], sep).alias(_TEXT), F.sum(_TIMES).alias(_N)
+    )
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def join_long_text(
+    df: DataFrame,
+    key: str,
+    value: Column | str,
+    name: str,
+    sep: str = ",",
+    *,
+    order_by: Column | None = None,
+    piece_values: int = 100_000,
+) -> DataFrame:
+    """As :func:`join_text`, where one key may have millions of values: no task sorts or holds all of them.
+
+    A first job counts the values per key. The texts of keys with at most ``piece_values`` are made as usual, those of
+    others in pieces by ranges of the order, which are then joined; only that last step holds a whole text.
+    """
+    pieces = text_pieces(df, key, value, sep, piece_values, order_by)
+    if pieces is None:
+        return join_text(df, key, value, name, sep, order_by=order_by)
+    in_order = F.sort_array(F.collect_list(F.struct(_PIECE, _TEXT)))
+    long = pieces.groupBy(key).agg(F.array_join(in_order[_TEXT], sep).alias(name))
+    text = (F.col(value) if isinstance(value, str) else value).cast("string")
+    counts = df.where(text.isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(_N))
+    few = counts.where(F.col(_N) <= piece_values).select(F.col(key).alias("__same"))
+    rest = df.join(few, F.col(key).eqNullSafe(F.col("__same")), "left_semi")
+    return join_text(rest, key, value, name, sep, order_by=order_by).unionByName(long)
+
+
 def count_related(
     left: DataFrame,
     right: DataFrame,

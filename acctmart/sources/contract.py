@@ -11,7 +11,9 @@ from pyspark.sql.types import (
     BooleanType,
     DataType,
     DateType,
+    DecimalType,
     IntegralType,
+    LongType,
     MapType,
     NullType,
     NumericType,
@@ -21,6 +23,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from acctmart.functions.flags import raise_if
+
 # Table and column names of the loan book.
 COLUMNS: dict[str, tuple[str, ...]] = {
     "Applicant_TBL": ("CaseID", "BorrowerID", "First name", "Surname", "WithholdCommunication"),
@@ -90,6 +94,68 @@ TEXTS = frozenset((
 ))
 
 
+# Columns that join with one another, by what they identify.
+KEY_DOMAINS: dict[str, tuple[tuple[str, str], ...]] = {
+    "case": tuple((table, "CaseID") for table, columns in COLUMNS.items() if "CaseID" in columns),
+    "index": (("Rate_TBL", "IndexID"), ("Index_TBL", "IndexID")),
+    "payment frequency": (("Loan_TBL", "PaymentFrequencyID"), ("PaymentFrequency", "Id")),
+    "secondary status": (
+        ("StatusSecondary", "StatusSecondaryTypeID"), ("StatusSecondaryType", "StatusSecondaryTypeID"),
+    ),
+    "security": (("CaseSecurity", "SecurityID"), ("SecurityStatusHistory", "SecurityID")),
+    "status": (("StatusHistory_TBL", "StatusID"), ("Status_TBL", "StatusID")),
+    "transaction type": (
+        ("Transaction_TBL", "TransactionTypeId"), ("TransactionType_TBL", "TransactionTypeID"),
+    ),
+}
+
+
+def _agreed(kinds: list[DataType]) -> DataType | None:
+    """The type in which keys of such types are compared; None if there is none."""
+    known = [k for k in kinds if not isinstance(k, NullType)]
+    if len(set(known)) <= 1:
+        return known[0] if known else StringType()
+    whole = [isinstance(k, IntegralType) or (isinstance(k, DecimalType) and k.scale == 0) for k in known]
+    if not all(w or isinstance(k, StringType) for w, k in zip(whole, known)):
+        return None
+    if any(isinstance(k, DecimalType) for k in known):
+        return DecimalType(38, 0)
+    return LongType() if any(whole) else StringType()
+
+
+def _checked(table: str, name: str, kind: DataType, wanted: DataType) -> Column:
+    """The key in the agreed type; running it fails at a text that is no whole number."""
+    column = F.col(f"`{name}`")
+    if kind == wanted:
+        return column
+    value = column.try_cast(wanted)
+    if isinstance(kind, StringType):
+        message = F.concat(F.lit(f"{table}.{name} holds no whole number: "), column)
+        value = raise_if(column.isNotNull() & value.isNull(), message, value)
+    return value.alias(name)
+
+
+def agree_keys(tables: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], list[str]]:
+    """The tables with one type per kind of key, and what can't be agreed on, in words.
+
+    Whole numbers of several widths meet in the widest, texts beside whole numbers become whole numbers.
+    """
+    changes: dict[str, dict[str, Column]] = {}
+    wrong = []
+    for domain, members in KEY_DOMAINS.items():
+        there = [(t, c) for t, c in members if t in tables and c in tables[t].columns]
+        kinds = [tables[t].schema[c].dataType for t, c in there]
+        wanted = _agreed(kinds)
+        if wanted is None:
+            found = ", ".join(f"{t}.{c} is {k.simpleString()}" for (t, c), k in zip(there, kinds))
+            wrong.append(f"the keys of one {domain} have types that can't be compared: {found}")
+            continue
+        for (t, c), kind in zip(there, kinds):
+            if kind != wanted:
+                changes.setdefault(t, {})[c] = _checked(t, c, kind, wanted)
+    return {t: df.withColumns(changes[t]) if t in changes else df for t, df in tables.items()}, wrong
+
+
 def _typed(name: str, kind: DataType) -> Column | str:
     """The column as its rules want it, or what type is wanted instead."""
     column = F.col(f"`{name}`")
@@ -120,7 +186,8 @@ def require_columns(df: DataFrame, columns: Iterable[str], table: str) -> DataFr
 def require_contract(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Check that all read tables are there with usable types, and reduce each to its read columns.
 
-    Whole numbers in text columns become text. All other types that a rule can't use are named in one error.
+    Whole numbers in text columns become text, and keys that join get one type (:func:`agree_keys`). All other types
+    that a rule can't use are named in one error.
     """
     absent = sorted(set(COLUMNS) - set(tables))
     if absent:
@@ -133,7 +200,8 @@ def require_contract(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         for c, found in typed.items():
             if isinstance(found, str):
                 wrong.append(f"{name}.{c} is {kinds[c.lower()].simpleString()}, wanted is {found}")
-        out[name] = df.select(*[v for v in typed.values() if not isinstance(v, str)])
-    if wrong:
-        raise TypeError("; ".join(wrong))
+        out[name] = df.select(*[v.alias(c) for c, v in typed.items() if not isinstance(v, str)])
+    out, unlike = agree_keys(out) if not wrong else (out, [])
+    if wrong or unlike:
+        raise TypeError("; ".join([*wrong, *unlike]))
     return out

@@ -19,19 +19,30 @@ def load_tables(
     overrides: Mapping[str, str | DataFrame] | None = None,
     options: Mapping[str, object] | None = None,
     schemas: Mapping[str, str | StructType] | None = None,
+    formats: Mapping[str, str] | None = None,
+    table_options: Mapping[str, Mapping[str, object]] | None = None,
 ) -> dict[str, DataFrame]:
     """Lazy frames by table name.
 
     Tables are files ``{base}/{name}.{fmt}``, or tables of the current database
     if ``base`` is None. An override may be a frame, a path (it contains ``/``), or a table
-    name such as ``other_db.name`` for a table that lives in another database.
+    name such as ``other_db.name`` for a table that lives in another database. ``formats`` and ``table_options``
+    hold the format and further reader options of single tables, where they aren't those of all.
     """
     overrides = dict(overrides or {})
     names = list(names) if names is not None else [*COLUMNS, *UNREAD]
     schemas = dict(schemas or {})
 
+    unknown = sorted({*(formats or {}), *(table_options or {}), *schemas} - set(names))
+    if unknown:
+        raise ValueError(f"options for tables that are not read: {unknown}")
+
+    def format_of(name: str) -> str:
+        return (formats or {}).get(name, fmt)
+
     def files(name: str, path: str) -> DataFrame:
-        reader = spark.read.format(fmt).options(**dict(options or {}))
+        own = {**dict(options or {}), **dict((table_options or {}).get(name, {}))}
+        reader = spark.read.format(format_of(name)).options(**own)
         return (reader.schema(schemas[name]) if name in schemas else reader).load(path)
 
     def one(name: str) -> DataFrame:
@@ -41,7 +52,7 @@ def load_tables(
         if source is None and base is None:
             return spark.table(f"`{name}`")
         if source is None:
-            return files(name, f"{base}/{name}.{fmt}")
+            return files(name, f"{base}/{name}.{format_of(name)}")
         return files(name, source) if "/" in source else spark.table(source)
 
     return {name: one(name) for name in names}

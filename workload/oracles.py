@@ -14,8 +14,25 @@ AS_OF_SHORT = "DATE '2000-02-15'"
 ORACLES: dict[str, str] = {}
 
 
-def over_book(*names: str) -> str:
-    return "WITH " + book_cte(*names)
+# Histories and their days.
+DAYS = {
+    "AraHistory": "EffectiveDate", "CMSHistory_TBL": "CMS Month", "CreditGrade": "DateOfChange",
+    "MarpTypeHistory": "ChangedOnDate", "MonthlyBalances_TBL": "Date", "SecurityStatusHistory": "EffectiveDate",
+    "StatusHistory_TBL": "Datechanged", "StatusSecondary": "ChangedOnDate", "Transaction_TBL": "Transaction date",
+}
+
+
+def over_book(*names: str, until: str | None = None) -> str:
+    """The loan book's tables; with ``until``, histories without later rows."""
+    parts = []
+    for name in names:
+        made = book_cte(name)
+        if until and name in DAYS:
+            head, day = f'"{name}" AS (', DAYS[name]
+            body = made[len(head) : -1]
+            made = f'{head}SELECT * FROM ({body}) WHERE "{day}" IS NULL OR CAST("{day}" AS DATE) <= {until})'
+        parts.append(made)
+    return "WITH " + ",\n".join(parts)
 
 
 def due(day: str, as_of: str) -> str:
@@ -584,9 +601,9 @@ RATE_PER_LINE = """
 """
 
 
-def _extract(as_of: str, rates: str = 'SELECT * FROM "Rate_TBL"') -> str:
+def _extract(as_of: str, rates: str = 'SELECT * FROM "Rate_TBL"', until: str | None = None) -> str:
     history = ",\n       ".join(f'ph."PMT_HIS_{k}"' for k in range(3, 13))
-    return over_book(*[n for n in BOOK if n != "MissedOrLatePayments"]) + f"""
+    return over_book(*[n for n in BOOK if n != "MissedOrLatePayments"], until=until) + f"""
 , names AS ({NAMES}), recoded AS ({RECODED}),
 residency AS (
   SELECT a."CaseID", c."Borrower Residency" AS r
@@ -708,3 +725,35 @@ FROM supplier s
 FULL JOIN (SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS k, c_name FROM customer) c
   ON c.k = s.s_suppkey
 """
+
+STATE_DATES = ("1997-03-31", "1998-09-15", "2000-01-31")
+
+
+def _at(name: str, order: str) -> str:
+    day = DAYS[name]
+    return f"""SELECT DISTINCT ON (h."CaseID", d.as_of) h.*, d.as_of FROM "{name}" h
+      JOIN dates d ON h."{day}" IS NULL OR CAST(h."{day}" AS DATE) <= d.as_of
+      ORDER BY h."CaseID", d.as_of, h."{day}" DESC NULLS LAST, {order}"""
+
+
+ORACLES["account_state_over_dates"] = over_book(
+    "Loan_TBL", "MonthlyBalances_TBL", "CMSHistory_TBL", "StatusHistory_TBL", "Status_TBL", "MarpTypeHistory", "CreditGrade"
+) + f""", dates AS (SELECT unnest([{", ".join(f"DATE '{d}'" for d in STATE_DATES)}]) AS as_of),
+balance AS ({_at("MonthlyBalances_TBL", 'h."Arrears" DESC NULLS LAST')}),
+cms AS ({_at("CMSHistory_TBL", 'h."CMS" DESC NULLS LAST')}),
+status AS ({_at("StatusHistory_TBL", 'h."Effective date" DESC NULLS LAST, h."StatusID" DESC NULLS LAST')}),
+marp AS ({_at("MarpTypeHistory", 'h."MarpTypeID" DESC NULLS LAST')}),
+grade AS ({_at("CreditGrade", 'h."Grade" ASC NULLS FIRST')})
+SELECT l."CaseID" AS case_id, CAST(d.as_of AS VARCHAR) AS as_of,
+       CAST(b."Arrears" AS DOUBLE) AS month_arrears, CAST(b."Date" AS VARCHAR) AS balance_day,
+       CAST(m."CMS" AS DOUBLE) AS instalment, s."Status" AS status,
+       CAST(p."MarpTypeID" AS BIGINT) AS marp_type, g."Grade" AS grade
+FROM (SELECT DISTINCT "CaseID" FROM "Loan_TBL") l CROSS JOIN dates d
+LEFT JOIN balance b ON b."CaseID" = l."CaseID" AND b.as_of = d.as_of
+LEFT JOIN cms m ON m."CaseID" = l."CaseID" AND m.as_of = d.as_of
+LEFT JOIN status h ON h."CaseID" = l."CaseID" AND h.as_of = d.as_of
+LEFT JOIN "Status_TBL" s ON s."StatusID" = h."StatusID"
+LEFT JOIN marp p ON p."CaseID" = l."CaseID" AND p.as_of = d.as_of
+LEFT JOIN grade g ON g."CaseID" = l."CaseID" AND g.as_of = d.as_of
+"""
+ORACLES["account_extract_point_in_time"] = _extract(f"DATE '{STATE_DATES[1]}'", until=f"DATE '{STATE_DATES[1]}'")

@@ -45,8 +45,9 @@ from acctmart.functions import (
     split_reference,
     text_length,
 )
+from acctmart.operators import newest_as_of, over_dates
 from acctmart.plans import rules
-from acctmart.plans.extract import HISTORY_MONTHS
+from acctmart.plans.extract import HISTORY_MONTHS, TIE_BREAKS
 from acctmart.sources import COLUMNS, load_tables, require_contract
 from workload.loan_book import book_table, loan_book
 
@@ -822,3 +823,46 @@ def unique_outer_join(spark, sf):
         F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).alias("k"), "c_name"
     )
     return attach(suppliers, customers, "k", "full", expect_unique=True)
+
+
+STATE_DATES = ("1997-03-31", "1998-09-15", "2000-01-31")
+
+
+@query
+def account_state_over_dates(spark, sf):
+    """Balance, instalment, status, MARP type and grade of every case with a loan at three dates, in one run."""
+    t = loan_book(spark, sf)
+
+    def at(name, order_by, values):
+        return newest_as_of(
+            t[name], "CaseID", order_by, STATE_DATES, tie_break=TIE_BREAKS[name], values=values
+        )
+
+    status = attach_dimension(
+        at("StatusHistory_TBL", "Datechanged", {"StatusID": "StatusID"}), t["Status_TBL"], "StatusID"
+    )
+    states = over_dates(t["Loan_TBL"].select("CaseID").distinct(), STATE_DATES)
+    for side in (
+        at("MonthlyBalances_TBL", "Date", {"month_arrears": "Arrears", "balance_day": "Date"}),
+        at("CMSHistory_TBL", "CMS Month", {"instalment": "CMS"}),
+        status.select("CaseID", "as_of", F.col("Status").alias("status")),
+        at("MarpTypeHistory", "ChangedOnDate", {"marp_type": "MarpTypeID"}),
+        at("CreditGrade", "DateOfChange", {"grade": "Grade"}),
+    ):
+        states = attach(states, side, ["CaseID", "as_of"])
+    return states.select(
+        F.col("CaseID").alias("case_id"),
+        F.col("as_of").cast("string").alias("as_of"),
+        F.col("month_arrears").cast("double").alias("month_arrears"),
+        F.col("balance_day").cast("string").alias("balance_day"),
+        F.col("instalment").cast("double").alias("instalment"),
+        "status",
+        "marp_type",
+        "grade",
+    )
+
+
+@query
+def account_extract_point_in_time(spark, sf):
+    """The extract as of an earlier date, with nothing that came later."""
+    return build_extract(loan_book(spark, sf), STATE_DATES[1], point_in_time=True)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import os
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acctmart.operators.stored import stored
+
 #: A word: a run of characters other than space and the five ASCII control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 #: The characters between words.
@@ -22,16 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written to the checkpoint folder that the cluster names, without their lineage.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where none is set, as in tests,
-    a temporary one is made.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    """The same rows, written to the checkpoint folder that the cluster names, without their lineage."""
+    return stored(df)
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

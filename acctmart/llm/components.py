@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctmart.llm.common import cut
+from acctmart.operators.joins import attach_spread
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -19,7 +20,8 @@ def components(links: DataFrame) -> DataFrame:
     Each round connects the larger neighbours of every id to its smallest neighbour, then the smaller
     ones. Rounds are as many as the logarithm of the longest path; each is two sums and two joins
     whose rows are two ids, and its edges are written to the checkpoint folder. No id's
-    neighbours are ever gathered: a hub is a join key, which adaptive execution can split.
+    neighbours are ever gathered: a hub is a key of a join whose sides are both shuffled for it
+    alone, the form in which adaptive execution splits a hub's rows.
     """
     a, b = links.columns
     edges = cut(
@@ -30,11 +32,11 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
-            both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            attach_spread(both, least, "u", "inner").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(least, "u")
+            attach_spread(large, least, "u", "inner")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .filter("u <> v")
             .union(least.select("u", F.col("m").alias("v")))

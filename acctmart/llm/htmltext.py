@@ -37,7 +37,7 @@ SECTIONS = set("div section article main header footer nav aside form fieldset d
 #: How far a node's looks are trusted: its features aren't independent, as their product supposes.
 TRUST = 0.6
 #: Elements whose content is no text of the page.
-SILENT = set("head title script style template textarea select option button".split())
+SILENT = set("head title script style template textarea select option button label legend datalist".split())
 #: Of these, those whose content isn't markup.
 RAW = set("script style title textarea".split())
 EMPTY = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,6 +52,7 @@ ENDED_BY = {
     "tr": {"tr", "tbody", "tfoot"},
     "option": {"option"},
 }
+_ENDING = set().union(*ENDED_BY.values())
 #: No element outside of these is ended by a new one within.
 FENCES = set("table ul ol dl body html article section main div td th blockquote".split())
 #: Names in class, id and role, by what they speak of.
@@ -101,6 +102,7 @@ class Page:
 
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = []  # open elements and the node that each belongs to
+        bounds: list[int] = []  # depths of those that a new element may end, or that fence off what is outside
         opened = Counter()
         silent = links = 0
         node, at, end = 0, 0, len(source)
@@ -114,6 +116,8 @@ class Page:
                 links -= tag == "a"
                 if tag in BLOCKS:
                     self.texts.append((0, None))
+            while bounds and bounds[-1] >= depth:
+                bounds.pop()
             node = stack[-1][1] if stack else 0
 
         while at < end:
@@ -143,12 +147,12 @@ class Page:
                 if tag in ("br", "hr"):
                     self.texts.append((0, None))
                 continue
-            if attributes.endswith("/") and tag not in BLOCKS:
+            if attributes.endswith("/") and tag not in BLOCKS and tag not in RAW:
                 continue
             if tag in RAW:
                 stop = re.compile(rf"</{tag}", re.I).search(source, at)
                 at = stop.start() if stop else end
-            for depth in range(len(stack) - 1, -1, -1):
+            for depth in reversed(bounds) if tag in _ENDING else ():
                 if tag in ENDED_BY.get(stack[depth][0], ()):
                     close(depth)
                     break
@@ -157,6 +161,8 @@ class Page:
             if tag in BLOCKS:
                 self.texts.append((0, None))
                 node = self._open(node, tag, attributes)
+            if tag in ENDED_BY or tag in FENCES:
+                bounds.append(len(stack))
             stack.append((tag, node))
             opened[tag] += 1
             silent += tag in SILENT

@@ -356,6 +356,34 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return ids.join(second, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
 
 
+def _shared_ids(sketched: DataFrame) -> DataFrame | None:
+    """The ids whose rows have several sets, if there are any."""
+    several = (
+        sketched.filter("doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.min("digest").alias("a"), F.max("digest").alias("b"))
+        .filter("a <> b")
+        .select("doc_id")
+    )
+    return None if several.isEmpty() else several
+
+
+def _over_shared_ids(linked: DataFrame, several: DataFrame, sketched: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, component) of the classes and ids that link, where the texts of one doc_id link as well.
+
+    Each class of an id with several sets is joined with that id by a link.
+    """
+    owned = sketched.filter("n_shingles > 0").select("doc_id", "digest").join(several, "doc_id").distinct()
+    shared = owned.join(classes.select("digest", "rep"), "digest").select(
+        F.col("rep").alias("a"), F.col("doc_id").alias("b")
+    )
+    both = linked.toDF("b", "a").select("a", "b").union(shared)
+    # an id that links with itself alone is no link, but its own component
+    alone = shared.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
+    joined = cut(components(both))
+    return joined.union(alone.join(joined.select("id"), "id", "left_anti"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id and kept."""
     docs = docs.select(F.col(f"`{doc_id}`").cast(T.LongType()).alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -366,14 +394,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
         .filter("rep IS NOT NULL")
     )
-    found = link_classes(docs, classes).select(F.col("id").alias("rep"), "component")
-    named = classes.select("digest", "rep").join(found, "rep", "left").select(
+    linked, shared = link_classes(docs, classes), _shared_ids(sketched)
+    found = linked if shared is None else _over_shared_ids(linked, shared, sketched, classes)
+    named = classes.select("digest", "rep").join(found.toDF("rep", "component"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component")
     )
+    rows = sketched.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    if shared is not None:
+        # a row without words belongs to its document's component through the id
+        rows = rows.join(found.toDF("doc_id", "by_id"), "doc_id", "left")
+        rows = rows.withColumn("component", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("by_id")))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return (
-        sketched.select("doc_id", "n_shingles", "digest")
-        .join(named, "digest", "left")
-        .select("doc_id", "n_shingles", own.alias("component_id"))
+        rows.select("doc_id", "n_shingles", own.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )

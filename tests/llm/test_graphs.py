@@ -100,6 +100,15 @@ def test_near_duplicates_of_odd_rows(spark, clash):
     assert neardup.near_duplicates(no_docs(spark)).count() == 0
 
 
+def test_near_duplicates_over_repeated_ids(spark):
+    """The texts of one id link, also through an id that has no words in one of its rows."""
+    a, b, c = prose(60, 1), prose(60, 2), prose(60, 3)
+    rows = [(1, a), (5, a), (5, b), (9, b), (9, ""), (11, c), (11, None), (12, c), (20, prose(50, 4)), (20, prose(50, 5)), (21, "")]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {1: 1, 5: 1, 9: 1, 11: 11, 12: 11, 20: 20, 21: 21}
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == set(want.items())
+
+
 def test_registers_merge_and_tell_similarity():
     pick = np.random.default_rng(3)
     x = np.unique(pick.integers(0, 2**63, 3000).astype(np.uint64))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctmart.llm.bpe import encode
+from acctmart.llm.common import words
 from acctmart.llm.mixing import mix
 from acctmart.llm.neardup import near_duplicates
 from acctmart.llm.quality import quality
@@ -37,19 +38,23 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id.
 
-    Rows that repeat an id are one document, of which the first by its columns stays; rows without an id all stay.
+    Rows that repeat an id are one document, of which the first by its columns stays. Rows without an id are told apart by
+    their text: they take a large number made of it, so that they go before a row with an id does, and equal ones are
+    one document. Rows without an id and without words all stay.
     """
-    docs = docs.select(COLUMNS)
+    by_text = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
+    worded = F.size(words(F.col("text"))) > 0
+    unnamed = F.col("doc_id").isNull()
+    docs = docs.select(COLUMNS).withColumn("_unnamed", unnamed).withColumn(
+        "doc_id", F.coalesce("doc_id", F.when(worded, by_text))
+    )
     ids = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_rows"))
     met = docs.join(ids, "doc_id")
-    rest = [c for c in COLUMNS if c != "doc_id"]
+    rest = [c for c in [*COLUMNS, "_unnamed"] if c != "doc_id"]
     repeated = met.filter("_rows > 1").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_first"))
-    return (
-        met.filter("_rows = 1")
-        .select(COLUMNS)
-        .unionByName(repeated.select("doc_id", "_first.*"))
-        .unionByName(docs.filter("doc_id IS NULL"))
-    )
+    one = met.filter("_rows = 1").drop("_rows").unionByName(repeated.select("doc_id", "_first.*"))
+    kept = one.unionByName(docs.filter("doc_id IS NULL"))
+    return kept.withColumn("doc_id", F.when(~F.col("_unnamed"), F.col("doc_id"))).select(COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,8 +88,10 @@ ORACLE_SQL = None
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder in the shared one that the cluster names; where none is named, as in tests, a temporary one."""
+    """A new folder in the shared one that the cluster names; a session on one machine may take a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     return os.path.join(shared or tempfile.mkdtemp(prefix="corpus-"), f"corpus-{uuid.uuid4().hex}")
 
 

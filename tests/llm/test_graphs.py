@@ -198,6 +198,15 @@ def water(sizes, weights=(3, 1, 2)):
     return out
 
 
+def test_vectors_in_double_precision(spark):
+    """Doubles keep their digits and their range; pairs at the threshold are told apart by them."""
+    at = lambda c: [c, math.sqrt(1 - c * c)]
+    rows = [(1, [1.0, 0.0], 0), (2, at(0.93 + 4e-9), 0), (3, [1.0, 0.0], 1), (4, at(0.93 - 4e-9), 1), (5, [1e39, 0.0], 2), (6, [1e-200, 0.0], 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectorjoin.linked_vectors(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4), 5: (1, 5), 6: (1, 5)}
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_mix_takes_what_the_targets_say(spark, clash):
     more = spark.createDataFrame(

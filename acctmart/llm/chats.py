@@ -10,8 +10,9 @@ full hashes are made distinct before they meet, combined before the shuffle: a v
 
 Rendering gathers one conversation's turns, which are one value of the result. Turns stand in the order of ``turn`` (null first),
 then role and text; their place in it counts, not the number. Defined results: repeated rows are turns of their own. A null
-role or text differs from an empty one in comparing, and is rendered as empty. Rows with a null conv_id make up one conversation without id.
-An empty table gives an empty result; other columns don't matter.
+role or text differs from an empty one in comparing, and is rendered as empty. A row with a null conv_id is a
+conversation of one turn; it has an id only if an equal one has. Rows of one conversation with equal or null ``turn`` are put in
+order in one task. An empty table gives an empty result; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -63,19 +64,26 @@ def prefixes(turns: DataFrame) -> DataFrame:
 
 
 def maximal(turns: DataFrame) -> DataFrame:
-    """(conv_id, n_turns, n_equal) of the conversations that are no prefix of a longer one, equal ones once."""
-    rolled = cut(prefixes(turns))
+    """(conv_id, n_turns, n_equal, only) of the conversations that are no prefix of a longer one, equal ones once.
+
+    ``only`` is the turn of a conversation without id.
+    """
+    rolled = cut(prefixes(turns.filter("conv_id IS NOT NULL")))
     lengths = rolled.groupBy("conv_id").agg(F.max("place").alias("n_turns"))
-    both = meet(rolled, lengths, "conv_id")
-    # a null id comes after all others
+    both = rolled.join(lengths, "conv_id")
+    turn = F.struct("role", "text")
+    single = turns.filter("conv_id IS NULL").withColumn("place", F.lit(1).cast("long"))
+    single = single.select("place", *[h.alias(f"p{k}") for k, h in enumerate(_hashes(), 1)], turn.alias("only"))
+    kind = single.schema["only"].dataType
+    ends = both.filter("place = n_turns").select("place", "p1", "p2", "conv_id", F.lit(None).cast(kind).alias("only"))
     full = (
-        both.filter("place = n_turns")
+        ends.unionByName(single, allowMissingColumns=True)
         .groupBy("place", "p1", "p2")
-        .agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_equal"))
+        .agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_equal"), F.min("only").alias("only"))
     )
     inner = both.filter("place < n_turns").select("place", "p1", "p2").distinct()
     return full.join(inner, ["place", "p1", "p2"], "left_anti").select(
-        "conv_id", F.col("place").alias("n_turns"), "n_equal"
+        "conv_id", F.col("place").alias("n_turns"), "n_equal", "only"
     )
 
 
@@ -90,27 +98,34 @@ def format_chats(
         F.col(f"`{text}`").cast("string").alias("text"),
     )
     chosen = cut(maximal(turns))
-    written = F.concat(
-        F.lit(OPEN), F.coalesce("role", F.lit("")), F.lit(BETWEEN), F.coalesce("text", F.lit("")), F.lit(CLOSE)
-    )
+
+    def shown(role: Column, text: Column) -> Column:
+        blank = F.lit("")
+        return F.concat(F.lit(OPEN), F.coalesce(role, blank), F.lit(BETWEEN), F.coalesce(text, blank), F.lit(CLOSE))
+
+    written = shown(F.col("role"), F.col("text"))
     lines = F.transform(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text", written.alias("written")))), lambda t: t["written"]
     )
-    return (
-        meet(turns, chosen, "conv_id")
-        .groupBy("conv_id", "n_turns", "n_equal")
-        .agg(F.array_join(lines, "").alias("chat"))
+    named = chosen.filter("conv_id IS NOT NULL").drop("only")
+    rendered = (
+        turns.join(named, "conv_id").groupBy("conv_id", "n_turns", "n_equal").agg(F.array_join(lines, "").alias("chat"))
+    )
+    alone = chosen.filter("conv_id IS NULL").select(
+        "conv_id", "n_turns", "n_equal", shown(F.col("only.role"), F.col("only.text")).alias("chat")
     )
+    return rendered.unionByName(alone)
 
 
 #: The same by whole turn lists: a conversation stays if none longer starts with it, and it is the first of its equals.
 ORACLE = """
 WITH lists AS (
-    SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+    SELECT conv_id, alone, CAST(count(*) AS BIGINT) AS n_turns,
            list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns,
            string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), ''
                       ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS chat
-    FROM conversations GROUP BY conv_id
+    FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM conversations)
+    GROUP BY conv_id, alone
 ), firsts AS (
     SELECT min(conv_id) AS conv_id, CAST(count(*) AS BIGINT) AS n_equal, n_turns, turns, chat
     FROM lists GROUP BY n_turns, turns, chat

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctmart.llm.common import cut, let, meet, words
+from acctmart.operators.joins import fits_broadcast
 
 #: Weights of the sources in their order, repeated.
 WEIGHTS = (3, 1, 2)
@@ -233,8 +234,9 @@ def draws(
     else:
         sized = rows = cut(rows)  # the sizes are all that is left of the texts
     blocks = F.least(F.ceil(F.count("*") / block_docs), F.lit(most_blocks)).cast("long")
-    # a row per source, as in the splitting tree: every task can hold it
-    blocks = F.broadcast(cut(sized.groupBy("_source").agg(blocks.alias("_blocks"))))
+    blocks = cut(sized.groupBy("_source").agg(blocks.alias("_blocks")))
+    if fits_broadcast(blocks)[0]:
+        blocks = F.broadcast(blocks)
     block = F.pmod(F.xxhash64(F.lit("block"), F.col("_lot")), F.col("_blocks"))
     rows = meet(rows, blocks, "_source").withColumn("_block", block).drop("_blocks")
     sized = meet(sized, blocks, "_source").select(

@@ -33,7 +33,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = draws(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return drawn.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken")
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), "draws"
     )
 
 

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_cases import SF, changed, no_docs, odd_docs, prose
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from acctmart.llm import chats, components, mixing, neardup, queries, vectorjoin
@@ -250,6 +251,26 @@ def test_splitting_tree_gives_exact_quotas(spark):
     assert 60 < min(a) and max(a) < 110 and len(set(a)) > 1
 
 
+def test_query_draws_by_the_quotas_of_the_tree(spark):
+    """Each unit (a block in a pass) of the query's own draws is in one shard, and the shards have equal numbers of units."""
+    sf = SF.replace("0.001", "0.1")
+    rows = queries.op2_mix_sources(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source"), "doc_id")
+    lot = F.xxhash64(F.lit(mixing.SEED), F.col("doc_id"))
+    blocks = F.least(F.ceil(F.count("*").over(Window.partitionBy("source")) / mixing.BLOCK_DOCS), F.lit(mixing.MOST_BLOCKS))
+    units = (
+        rows.withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64(F.lit("block"), lot), F.col("blocks")))
+        .withColumn("d", F.explode("draws"))
+        .groupBy("source", "block", "d.pass")
+        .agg(F.min("d.shard").alias("shard"), F.max("d.shard").alias("other"))
+        .collect()
+    )
+    assert len(units) > 20 and all(u.shard == u.other for u in units)
+    shards = Counter(u.shard for u in units)
+    assert max(shards.values()) - min(shards[k] for k in range(mixing.SHARDS)) <= 2
+    assert rows.filter("taken <> size * size(draws)").count() == 0
+
+
 def test_mix_rows(spark):
     docs = odd_docs(spark)
     want = Counter()
@@ -304,15 +325,16 @@ def test_chats_against_all_prefixes(spark):
     df = spark.createDataFrame(turns(), "conv_id long, turn long, role string, text string").repartition(4)
     talks = {}
     order = lambda t: tuple((x is not None, x) for x in t)
-    for c, *rest in turns():
-        talks.setdefault(c, []).append(tuple(rest))
+    for n, (c, *rest) in enumerate(turns()):
+        talks.setdefault(("none", n) if c is None else c, []).append(tuple(rest))
     talks = {c: tuple((r, t) for _, r, t in sorted(v, key=order)) for c, v in talks.items()}
     first = {}
-    for c in sorted(talks, key=lambda c: (c is None, c or 0)):
+    for c in sorted(talks, key=lambda c: (isinstance(c, tuple), c)):
         first.setdefault(talks[c], c)
     keep = {c: t for t, c in first.items() if not any(len(o) > len(t) and o[: len(t)] == t for o in first)}
     got = {r.conv_id: r for r in chats.format_chats(df.withColumn("place", F.lit(1)).withColumn("run", F.lit(2))).collect()}
-    assert set(got) == set(keep)
+    keep = {None if isinstance(c, tuple) else c: t for c, t in keep.items()}
+    assert set(got) == set(keep) and None in keep
     equal = Counter(talks.values())
     for c, t in keep.items():
         chat = "".join(f"<|im_start|>{r or ''}\n{x or ''}<|im_end|>\n" for r, x in t)
@@ -325,6 +347,10 @@ def test_chats_against_sql(spark):
 
     import duckdb
 
+    con = duckdb.connect()
+    odd = spark.createDataFrame(turns(), "conv_id long, turn long, role string, text string").toPandas()
+    con.execute("CREATE VIEW conversations AS SELECT * FROM odd")
+    assert len(odd) and differences(chats.format_chats(spark.createDataFrame(turns(), "conv_id long, turn long, role string, text string")), con, chats.ORACLE) == []
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
     assert differences(queries.op1_chat_formatting(spark, SF), con, queries.ORACLES["op1_chat_formatting"]) == []

@@ -26,7 +26,7 @@ from acctmart.llm.common import add_columns, digest, held
 from acctmart.llm.pretokens import PART_ROWS, Chunks, Memo, NotAlone, chunked_texts, in_parts, splitter
 
 #: Pairs of tokens that each generation of a task's memo of pairs holds.
-PAIR_ENTRIES = 200_000
+PAIR_ENTRIES = 100_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

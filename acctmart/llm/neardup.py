@@ -50,8 +50,8 @@ GIVE_UP = 16.0
 LEAST_SAME = math.floor(REGISTERS * PERCENT / 100 - 6.5 * math.sqrt(REGISTERS * PERCENT / 100 * (1 - PERCENT / 100)))
 #: Classes, and bytes of their texts, in a block of a group.
 GROUP_ROWS, GROUP_BYTES = 512, 4_000_000
-#: Word hashes that a task remembers.
-WORD_ENTRIES = 400_000
+#: Word hashes in each of the two generations that a task remembers.
+WORD_ENTRIES = 150_000
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)

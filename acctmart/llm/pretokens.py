@@ -7,14 +7,14 @@ from collections.abc import Callable
 #: The public split pattern of the byte-level vocabularies (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Entries that each of a memo's two generations holds, for words and for other pre-tokens, and the longest text remembered.
-WORD_ENTRIES = 500_000
-MEMO_ENTRIES = 100_000
+WORD_ENTRIES = 250_000
+MEMO_ENTRIES = 40_000
 MEMO_CHARS = 64
 #: Marks that are one pre-token in a run after letters: the ASCII ones.
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Characters of texts that are cut into chunks at once, and rows that a task turns into Python values for that.
-PART_CHARS = 4 << 20
-PART_ROWS = 1024
+PART_CHARS = 2 << 20
+PART_ROWS = 512
 
 
 def splitter() -> Callable[[str], list[str]]:

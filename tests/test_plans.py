@@ -45,7 +45,7 @@ def test_extract_plan(spark, stored, static):
         line for line in plan.split("\n")
         if "Exchange hashpartitioning(CaseID" in line
     ]
-    assert len(wide) == 23
+    assert len(wide) == 19  # one per side: the picks, dates, texts and flags of a table share theirs
     assert "MissedOrLatePayments" not in plan
 
 
@@ -69,7 +69,8 @@ def test_scans_read_only_needed_columns(spark, stored, static):
     assert len(paid) == 1
     assert "PushedFilters: [IsNotNull(`Month end`), GreaterThanOrEqual(`Month end`,1999-01-01), LessThan(`Month end`,1999-11" in paid[0]
     mandates = [line for line in plan.split("\n") if "NextCollection" in line and "FileScan" in line]
-    assert any("EqualTo(DDStatusID,2)" in line for line in mandates)
+    # one scan for the newest active mandate and the declared one, which may have any status
+    assert len(mandates) == 1 and "EqualTo(DDStatusID,2)" not in mandates[0]
 
 
 def test_naive_lookup_would_not_shuffle(spark, stored, static):

@@ -11,8 +11,8 @@ shingles. Registers merge by maximum, and two sets agree in a register with a pr
    a number of pairs linear in the rows, whatever the size of a bucket.
 3. A pair goes on unless its registers and set sizes make a similarity of the threshold or more implausible (by the ratio of likelihoods).
    What remains is verified on the full sets, and the links' components are found.
-4. Buckets that still hold several components, and share members, make up groups. Each group is dealt into blocks, and each
-   two blocks meet in a task, which estimates and verifies in the same way the pairs that aren't in one component yet, and returns the links that join
+4. Buckets that still hold several components, and share members, make up groups. Each group is dealt into blocks, its largest
+   component apart from the rest, and each two blocks but those of that component meet in a task, which estimates and verifies in the same way the pairs that aren't in one component yet, and returns the links that join
    components. So every pair of a bucket is either within one component or tested, and no pairs are emitted.
 
 ``BANDS`` and ``ROWS`` leave a pair at the threshold without a common bucket with probability (1 - 0.85^8)^40 < 4e-6.
@@ -285,11 +285,51 @@ def _open_links(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
 
+def _meetings(groups: DataFrame, placed: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The classes of each group (rep, group), dealt into blocks, once for each other block that theirs has to meet.
+
+    The classes of a group's largest component make blocks of their own, the first ones. These needn't meet each other, so that
+    such a class is sent once for each block of the group's other classes, however large its component is.
+    """
+    members = groups.join(placed.select("rep", "component").distinct(), "rep")
+    held = members.join(texts.select(F.col("doc_id").alias("rep"), F.octet_length("text").alias("bytes")), "rep")
+    sizes = held.groupBy("group", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+
+    def n_blocks(n, bytes_):
+        return F.greatest(F.ceil(n / GROUP_ROWS), F.ceil(bytes_ / GROUP_BYTES), F.lit(1)).cast("int")
+
+    blocks = (
+        sizes.groupBy("group")
+        .agg(F.max(F.struct("n", "component", "bytes")).alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+        .select(
+            "group",
+            F.col("most.component").alias("main"),
+            n_blocks(F.col("most.n"), F.col("most.bytes")).alias("n_main"),
+            n_blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("n_rest"),
+        )
+    )
+    in_main = F.col("component") == F.col("main")
+    dealt = members.join(blocks, "group").withColumn("in_main", in_main).withColumn(
+        "block",
+        F.when(in_main, F.pmod(F.xxhash64("rep"), F.col("n_main")))
+        .otherwise(F.col("n_main") + F.pmod(F.xxhash64("rep"), F.col("n_rest")))
+        .cast("int"),
+    )
+    whole = dealt.join(classes.select("rep", "n_shingles", "registers"), "rep").join(
+        texts.withColumnRenamed("doc_id", "rep"), "rep"
+    )
+    others = F.sequence(F.when(F.col("in_main"), F.col("n_main")).otherwise(F.lit(0)), F.col("n_main") + F.col("n_rest") - 1)
+    return whole.withColumn("other", F.explode(others)).select(
+        "group", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        "rep", "component", "n_shingles", "registers", "text",
+    )
+
+
 def _open_groups(members: DataFrame, placed: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that the hubs left out, between classes of buckets that hold several components.
 
-    Buckets that share a member make up a group. A group's classes are dealt into blocks of bounded rows and bytes, and each two blocks meet
-    in one task. So a group of any size is tested, whole, in bounded tasks, and each returns only links that join components.
+    Buckets that share a member make up a group. A group's classes are dealt into blocks of bounded rows and bytes, and each two blocks that may
+    hold different components meet in one task. So a group of any size is tested, whole, in bounded tasks, and each returns only links that join components.
     """
     several = (
         placed.groupBy("band")
@@ -299,23 +339,7 @@ def _open_groups(members: DataFrame, placed: DataFrame, classes: DataFrame, text
     )
     edges = members.join(several, "band").filter("rep <> low").select("rep", "low").distinct()
     groups = cut(components(edges)).toDF("rep", "group")
-    rows = (
-        groups.join(classes.select("rep", "n_shingles", "registers"), "rep")
-        .join(texts.withColumnRenamed("doc_id", "rep"), "rep")
-        .join(placed.select("rep", "component").distinct(), "rep")
-    )
-    blocks = (
-        groups.join(texts.select(F.col("doc_id").alias("rep"), F.octet_length("text").alias("bytes")), "rep")
-        .groupBy("group")
-        .agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
-        .select("group", F.greatest(F.ceil(F.col("n") / GROUP_ROWS), F.ceil(F.col("bytes") / GROUP_BYTES), F.lit(1)).cast("int").alias("n_blocks"))
-    )
-    dealt = rows.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    met = met.select(
-        "group", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-        "rep", "component", "n_shingles", "registers", "text",
-    )
+    met = _meetings(groups, placed, classes, texts)
     return met.groupBy("group", "lo", "hi").applyInPandas(_open_links, "a long, b long")
 
 

@@ -110,6 +110,27 @@ def test_near_duplicates_over_repeated_ids(spark):
     assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == set(want.items())
 
 
+def test_large_component_is_sent_once_for_each_block_of_the_rest(spark):
+    """20,000 classes of which 19,700 are one component: these don't meet each other, all else does."""
+    groups = spark.range(20_000).select(F.col("id").alias("rep"), F.lit(0).cast("long").alias("group"))
+    component = F.when(F.col("rep") < 19_700, F.lit(0)).otherwise(F.col("rep") - F.col("rep") % 3).cast("long")
+    placed = groups.select(F.explode(F.array(F.lit(1), F.lit(2))).alias("band"), "rep", component.alias("component"))
+    classes = groups.select("rep", F.lit(9).cast("long").alias("n_shingles"), F.lit(b"r").alias("registers"))
+    texts = groups.select(F.col("rep").alias("doc_id"), F.lit("t").alias("text"))
+    met = neardup._meetings(groups, placed, classes, texts)
+    sent = met.groupBy("rep", "component", "block").agg(F.count("*").alias("n"), F.collect_set(F.struct("lo", "hi")).alias("at")).collect()
+    assert len(sent) == 20_000
+    main = [r for r in sent if r.component == 0]
+    rest = [r for r in sent if r.component != 0]
+    assert len(main) == 19_700 and {r.n for r in main} == {1}
+    blocks = {r.block for r in sent}
+    assert len(blocks) == 40 and {r.block for r in rest} == {39}
+    for r in rest:
+        assert {lo for lo, hi in r.at} == blocks and {hi for lo, hi in r.at} == {39}
+    assert all(r.at == [(r.block, 39)] for r in main)
+    assert max(r["count"] for r in met.groupBy("lo", "hi").count().collect()) < 2 * neardup.GROUP_ROWS
+
+
 def test_registers_merge_and_tell_similarity():
     pick = np.random.default_rng(3)
     x = np.unique(pick.integers(0, 2**63, 3000).astype(np.uint64))

@@ -11,7 +11,8 @@ A minimum that equals a template's is a shingle of that template. So windows wit
 others get their values computed: the result is that of computing all.
 
 A template of fewer than five words is one shingle of all its words, met by windows of that width: a match holds it whole, and is
-found by comparing the hashes, without bands.
+found by comparing the hashes, without bands. A name of a license, in a table of its own, is a match only if one of ``CUES`` stands at most ``NEAR``
+words before or behind it, or if it fills its line.
 
 Templates are a bounded table given by the caller and go to the tasks with the code; there is no shuffle, and a task holds one
 slice of texts. Words are lower-cased (A-Z) and stripped of the punctuation and comment marks around them, so a header in a source file reads as its text. Defined results: null and empty texts, and texts shorter than
@@ -23,12 +24,14 @@ from __future__ import annotations
 
 import math
 from bisect import bisect
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctmart.llm.common import add_columns
+from acctmart.llm.license_texts import FULL_TEXTS
 from acctmart.llm.neardup import SHINGLE, mixed, word_hashes
 
 #: Share of a template's shingles that a window must hold, and the chance to miss such a window.
@@ -74,9 +77,21 @@ TEMPLATES = (
     ),
     ("MPL-2.0", "mpl notice", "subject to the terms of the Mozilla Public License, v. 2.0"),
 )
-#: Notices of fewer than five words, in the same form; a longer notice that names its license holds some of them too.
+#: Notices of fewer than five words, in the same form.
 SHORT_NOTICES = (
     ("all-rights-reserved", "all rights reserved", "All rights reserved"),
+    *(
+        (name, f"spdx {name.lower()}", f"SPDX-License-Identifier: {name}")
+        for name in (
+            "Apache-2.0", "MIT", "MIT-0", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "ISC", "Zlib", "Unlicense", "BSL-1.0", "GPL-2.0-only",
+            "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only",
+            "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "EPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+            "CC-BY-NC-4.0",
+        )
+    ),
+)
+#: Names of licenses, in the same form: notices only where the text around speaks of licensing, or alone in a line. A longer notice holds some of them too.
+NAMES = (
     ("Apache-2.0", "apache name", "Apache License, Version 2.0"),
     ("Apache-2.0", "apache short name", "Apache License 2.0"),
     ("MIT", "mit name", "MIT License"),
@@ -84,26 +99,31 @@ SHORT_NOTICES = (
     ("GPL", "gpl name", "GNU General Public License"),
     ("MPL-2.0", "mpl name", "Mozilla Public License"),
     ("CC-BY-4.0", "cc by name", "CC BY 4.0"),
+    ("CC-BY-SA-4.0", "cc by-sa name", "CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "cc by-nc name", "CC BY-NC 4.0"),
-    *(
-        (name, f"spdx {name.lower()}", f"SPDX-License-Identifier: {name}")
-        for name in (
-            "Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
-            "GPL-3.0-or-later", "MPL-2.0", "CC-BY-4.0", "CC-BY-NC-4.0",
-        )
-    ),
+    ("ISC", "isc name", "ISC License"),
+    ("Zlib", "zlib name", "zlib License"),
+    ("BSL-1.0", "boost name", "Boost Software License"),
+    ("EPL-2.0", "epl name", "Eclipse Public License 2.0"),
 )
-#: All of them: what the query looks for.
-NOTICES = TEMPLATES + SHORT_NOTICES
+#: Words that speak of licensing, and how near a name one must stand.
+CUES, NEAR = frozenset("license licensed licenses licence licenced copyright released distributed terms under spdx".encode().split()), 4
+#: All that the query looks for but the names.
+NOTICES = TEMPLATES + FULL_TEXTS + SHORT_NOTICES
 #: Punctuation and the marks of comments; words of nothing else are left out.
 _AROUND = b".,;:!?()[]\"'#*/-<>"
 _SEEDS = mixed(np.arange(1, 513, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
 
+def plain_words(text: str | None) -> list[bytes]:
+    """A text's words, lower-cased and without the marks around them."""
+    return [w for raw in (text or "").encode().lower().split() if (w := raw.strip(_AROUND))]
+
+
 def word_values(text: str | None, memo) -> np.ndarray:
     """The 64-bit hashes of a text's words, in order."""
-    found = [w for raw in (text or "").encode().lower().split() if (w := raw.strip(_AROUND))]
+    found = plain_words(text)
     return np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
 
 
@@ -145,14 +165,31 @@ def rounds(at: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
     return np.split(at, cuts)
 
 
+class Around:
+    """What stands around the words of a text."""
+
+    def __init__(self, text: str):
+        lines = [plain_words(line) for line in text.split("\n")]
+        self.words = [w for line in lines for w in line]
+        self.starts = list(accumulate((len(line) for line in lines), initial=0))
+
+    def licensing(self, at: int, width: int) -> bool:
+        """Whether these words fill their line, or one near them speaks of licensing."""
+        near = self.words[max(0, at - NEAR) : at] + self.words[at + width : at + width + NEAR]
+        k = bisect(self.starts, at) - 1
+        return self.starts[k] == at and self.starts[k + 1] == at + width or not CUES.isdisjoint(near)
+
+
 class Scanner:
-    def __init__(self, templates, contained: float = CONTAINED, miss: float = MISS):
-        self.memo, self.contained = word_hashes(), contained
+    def __init__(self, templates, contained: float = CONTAINED, miss: float = MISS, names=()):
+        self.memo, self.contained, self.first_name = word_hashes(), contained, len(templates)
         self.templates, self.short, self.ranks = [], [], {}
-        for number, (_, name, text) in enumerate(templates):
+        for number, (_, name, text) in enumerate([*templates, *names]):
             h = word_values(text, self.memo)
             if not len(h):
                 raise ValueError(f"template {name!r} has no words")
+            if number >= self.first_name and len(h) >= SHINGLE:
+                raise ValueError(f"name {name!r} has more than {SHINGLE - 1} words")
             if len(h) < SHINGLE:
                 self.short.append((number, len(h), shingles(h, len(h))[0]))
                 continue
@@ -219,9 +256,14 @@ class Scanner:
             if parts:
                 found += [(number, *place) for place in self._places(values, number, template, parts)]
         by_width = {width: shingles(h, width) for width in self.widths}
+        around = None
         for number, width, value in self.short:
             end = 0
             for at in np.flatnonzero(by_width[width] == value).tolist():
+                if number >= self.first_name:
+                    around = around or Around(text)
+                    if not around.licensing(at, width):
+                        continue
                 if at >= end:
                     end = at + width
                     found.append((number, 1.0, at, end - 1))
@@ -229,25 +271,25 @@ class Scanner:
 
 
 def license_scan(
-    docs: DataFrame, text: str = "text", templates=TEMPLATES, keep: list[str] | None = None
+    docs: DataFrame, text: str = "text", templates=TEMPLATES, keep: list[str] | None = None, names=()
 ) -> DataFrame:
-    """A row for each row of ``docs`` and place of a template in it: license, template, containment, first_word, last_word.
+    """A row for each row of ``docs`` and place of a template or, in a notice, of one of ``names`` in it: license, template, containment, first_word, last_word.
 
     Words are numbered from 0, those of nothing but punctuation or comment marks left out.
     """
 
     def make():
-        scanner = Scanner(templates)
+        scanner = Scanner(templates, names=names)
         return lambda texts: ([scanner.scan(t) for t in texts],)
 
     kind = "found array<struct<number:int,containment:double,first_word:int,last_word:int>>"
-    names = [F.struct(F.lit(a).alias("license"), F.lit(b).alias("template")) for a, b, _ in templates]
+    called = [F.struct(F.lit(a).alias("license"), F.lit(b).alias("template")) for a, b, _ in [*templates, *names]]
     scanned = add_columns(docs, [text], kind, make, keep)
     carried: list[Column] = [F.col(f"`{c}`") for c in scanned.columns if c != "found"]
     return scanned.select(*carried, F.explode("found").alias("found")).select(
         *carried,
-        F.array(*names)[F.col("found.number")]["license"].alias("license"),
-        F.array(*names)[F.col("found.number")]["template"].alias("template"),
+        F.array(*called)[F.col("found.number")]["license"].alias("license"),
+        F.array(*called)[F.col("found.number")]["template"].alias("template"),
         "found.containment",
         "found.first_word",
         "found.last_word",

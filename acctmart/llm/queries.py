@@ -12,7 +12,7 @@ from acctmart.llm.alignment import align
 from acctmart.llm.bpe import encode
 from acctmart.llm.common import let, table, words
 from acctmart.llm.htmltext import main_text
-from acctmart.llm.licenses import NOTICES, license_scan
+from acctmart.llm.licenses import NAMES, NOTICES, license_scan
 from acctmart.llm.mixing import draws
 from acctmart.llm.neardup import near_duplicates
 from acctmart.llm.periods import periodic_runs
@@ -42,7 +42,7 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan(table(spark, sf_dir, "documents"), templates=NOTICES, keep=["doc_id"])
+    return license_scan(table(spark, sf_dir, "documents"), templates=NOTICES, names=NAMES, keep=["doc_id"])
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -225,7 +225,8 @@ def test_license_scan_finds_short_notices(spark):
         "all rights", "Under the Apache License, Version 2.0 now",
     ]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = [(r.doc_id, r.template, r.containment, r.first_word, r.last_word) for r in licenses.license_scan(docs, templates=licenses.NOTICES).collect()]
+    scanned = licenses.license_scan(docs, templates=licenses.NOTICES, names=licenses.NAMES)
+    got = [(r.doc_id, r.template, r.containment, r.first_word, r.last_word) for r in scanned.collect()]
     want = [(0, "all rights reserved", 54, 56), (1, "spdx mit", 0, 1), (2, "mit name", 0, 1), (5, "apache name", 2, 5)]
     assert sorted(got) == [(d, name, 1.0, first, last) for d, name, first, last in want]
 
@@ -263,6 +264,37 @@ def test_license_scan_gives_each_place():
             assert all(x[0] == 1 for x in got[:2]) and all(a[2] < b[1] for a, b in zip(got, got[1:]))
 
 
+def test_license_names_count_in_notices_only():
+    scanner = licenses.Scanner(licenses.NOTICES, names=licenses.NAMES)
+    names = [name for _, name, _ in [*licenses.NOTICES, *licenses.NAMES]]
+    found = lambda text: [names[k] for k, *_ in scanner.scan(text)]
+    assert found("the MIT license plate story") == [] and found("They wrote about the BSD license at length.") == []
+    for _, name, text in licenses.NAMES:
+        for notice in (text, f"one two three\n# {text}.\nfour five", f"Released under the {text}", f"{prose(20, 1)} ({text}) is the license of it"):
+            assert name in found(notice), (name, notice)
+        assert name not in found(f"{prose(20, 1)} {text} {prose(20, 2)}")
+
+
+def test_license_texts_are_told_apart():
+    """Each text is found as its own, and no text as one of another license that it doesn't hold, by sets of words."""
+    scanner = licenses.Scanner(licenses.NOTICES)
+    general = {"GPL", "BSD", "permissive-disclaimer", "all-rights-reserved"}
+    pieces = {
+        ("BSD-2-Clause", "BSD-2-Clause"), ("NCSA", "MIT"),
+    }
+    for number, (license_, name, text) in enumerate(licenses.TEMPLATES + licenses.FULL_TEXTS):
+        found = {k: share for k, share, *_ in scanner.scan(f"{prose(30, 1)} {text} {prose(30, 2)}")}
+        assert found[number] == 1, name
+        others = {licenses.NOTICES[k][0] for k in found} - {license_} - general
+        assert others <= {b for a, b in pieces if a == license_}, (name, others)
+        # with a word of fifty changed, long texts are still found
+        words = text.split(" ")
+        if len(words) > 60:
+            edited = " ".join("other" if i % 50 == 25 else w for i, w in enumerate(words))
+            assert number in {k for k, *_ in scanner.scan(edited)}, name
+    assert len({license_ for license_, *_ in licenses.NOTICES}) >= 35
+
+
 def test_license_query_finds_the_reserved_rights(spark):
     held = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").filter("text ILIKE '%all rights reserved%'").collect()}
     found = {r.doc_id for r in queries.op4_license_scan(spark, SF).filter("template = 'all rights reserved'").collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import os
 from collections.abc import Callable
@@ -46,6 +48,7 @@ def words(text: Column) -> Column:
 
 
 _HELD: dict[str, tuple] = {}
+_ASKED: set[str] = set()
 
 
 def held(kind: str, key: str, make: Callable):
@@ -53,11 +56,35 @@ def held(kind: str, key: str, make: Callable):
 
     ``key`` must tell the content that the value is made of, such as a digest of a file.
     """
+    _ASKED.add(kind)
     if kind not in _HELD or _HELD[kind][0] != key:
         _HELD[kind] = key, make()
     return _HELD[kind][1]
 
 
+def made(make: Callable):
+    """``make()`` at the start of a task; what earlier tasks of this process held for other operators is let go."""
+    _ASKED.clear()
+    function = make()
+    if others := _HELD.keys() - _ASKED:
+        for kind in others:
+            del _HELD[kind]
+        gc.collect()
+        give_back()
+    return function
+
+
+def give_back() -> None:
+    """Freed memory goes back to the machine, as a worker that waits for its next task otherwise keeps it."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    # the C library's own call, where it has one
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def digest(*paths: str) -> str:
     """A digest of the content of files."""
     total = hashlib.sha256()
@@ -102,13 +129,16 @@ def add_columns(
     width = len(carried)
 
     def run(batches):
-        function = make()
+        function = made(make)
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 part = batch.slice(start, rows)
                 got = function(*(part.column(width + k).to_pylist() for k in range(len(inputs))))
-                made = [pa.array(v, type=arrow.field(width + k).type) for k, v in enumerate(got)]
-                yield pa.RecordBatch.from_arrays([part.column(k) for k in range(width)] + made, schema=arrow)
+                new_columns = [pa.array(v, type=arrow.field(width + k).type) for k, v in enumerate(got)]
+                yield pa.RecordBatch.from_arrays([part.column(k) for k in range(width)] + new_columns, schema=arrow)
+                got = new_columns = None
+        function = None
+        give_back()
 
     find_package(df)
     # the inputs go by place, so that no name can clash

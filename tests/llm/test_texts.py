@@ -178,6 +178,17 @@ def test_coding_whole_tables_equals_the_libraries(spark):
     assert counts == {d: (len(texts[d].encode()), len(e.ids), len(e.ids) > 512) for d, e in zip(order, want)}
 
 
+def test_tasks_let_go_what_other_operators_held(monkeypatch):
+    from acctmart.llm import common
+
+    monkeypatch.setattr(common, "_HELD", {})
+    one = common.made(lambda: common.held("codec", "x", object))
+    assert common.made(lambda: common.held("codec", "x", object)) is one
+    assert common.made(lambda: common.held("counter", "y", object)) is not one and list(common._HELD) == ["counter"]
+    common.made(lambda: None)
+    assert common._HELD == {}
+
+
 def plain_scan(text, contained=licenses.CONTAINED):
     """The best containment of each template over all of its windows, by sets of words."""
     def shingles(t):

@@ -75,7 +75,7 @@ def test_label_model_recovers_accuracies_from_agreement():
         model = toxicity.label_model(some, gold, np.zeros(6, bool))
         alone = toxicity.label_model(some, gold, np.zeros(6, bool), unlabelled_weight=0.0)
         off = np.abs(model.speaks_toxic - toxic)[tested].max()
-        assert off < (0.15 if some is votes else 0.45) and np.abs(model.speaks_clean - clean)[tested].max() < 0.03
+        assert off < (0.15 if some is votes else 0.45) and np.abs(model.speaks_clean - clean)[tested].max() < 0.04
         assert model.share[3:] == pytest.approx([1 / 3] * 3, abs=0.02)
     assert off < np.abs(alone.speaks_toxic - toxic)[0] - 0.2 and model.weights[0] > 2 * alone.weights[0]
     free = np.isnan(gold)

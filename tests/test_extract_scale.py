@@ -1,9 +1,11 @@
 """What keeps the extract within memory, disk and time on large tables."""
 
 import re
+from collections import Counter
 
 import pytest
 from conftest import executed_plan
+from pyspark.sql import functions as F
 
 import acctmart as am
 
@@ -23,8 +25,37 @@ def static(conf):
     conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
 
 
+def shuffles(plan: str) -> int:
+    return len(re.findall(r"Exchange (?:hash|range|shuffle)\w*", plan))
+
+
 def test_the_chain_holds_few_sorts_at_once(tables, static):
     """A sorted side holds a page to the end of the task; twenty of them are more than a task may have."""
     plan = executed_plan(am.build_extract(tables, AS_OF))
     assert len(re.findall(r"ShuffledHashJoin \[CaseID", plan)) == 13
     assert len(re.findall(r"SortMergeJoin \[CaseID", plan)) == 4
+
+
+def test_cases_without_very_many_rows_are_not_shuffled_again(tables, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plain = shuffles(executed_plan(am.build_extract(tables, AS_OF)))
+    told = shuffles(executed_plan(am.build_extract(tables, AS_OF, repeated_cases=True)))
+    # those that bring the ranges to the cases, and none of a row that has grown
+    assert told <= plain + 3
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_only_cases_with_very_many_rows_are_spread(tables, ordered):
+    rates = tables["Rate_TBL"]
+    case = rates.agg(F.min("CaseID")).first()[0]
+    more = rates.where(F.col("CaseID") == case).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(90))))
+    days = F.date_add(F.lit("2001-01-01"), (F.col("i") % 45).cast("int"))
+    odd = {**tables, "Rate_TBL": rates.union(more.withColumn("Period 1 end", days).drop("i"))}
+    plain = Counter(am.build_extract(odd, AS_OF, repeated_cases=False, ordered=False).collect())
+    split = am.build_extract(odd, AS_OF, hot_case_rows=50, ordered=ordered)
+    rows = split.collect()
+    assert Counter(rows) == plain
+    if ordered:
+        assert [r.ACC_NO for r in rows] == sorted(r.ACC_NO for r in rows)
+    one = am.build_extract(odd, AS_OF, hot_case_rows=10_000, repeated_cases=True, ordered=ordered).collect()
+    assert Counter(one) == plain

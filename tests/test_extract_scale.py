@@ -1,6 +1,7 @@
 """What keeps the extract within memory, disk and time on large tables."""
 
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -8,6 +9,8 @@ from conftest import executed_plan
 from pyspark.sql import functions as F
 
 import acctmart as am
+from acctmart.operators.stored import stored_parts
+from acctmart.plans.extract import HISTORY_DAYS
 
 AS_OF = "2000-01-31"
 
@@ -59,3 +62,54 @@ def test_only_cases_with_very_many_rows_are_spread(tables, ordered):
         assert [r.ACC_NO for r in rows] == sorted(r.ACC_NO for r in rows)
     one = am.build_extract(odd, AS_OF, hot_case_rows=10_000, repeated_cases=True, ordered=ordered).collect()
     assert Counter(one) == plain
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_cases_taken_in_passes_give_the_same_rows(tables, ordered):
+    rates = tables["Rate_TBL"]
+    case = rates.agg(F.min("CaseID")).first()[0]
+    more = rates.where(F.col("CaseID") == case).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(90)))).drop("i")
+    odd = {**tables, "Rate_TBL": rates.union(more)}
+    # dates from before the calendar's reform, and far ones, come back from the files
+    days = F.when(F.col("CaseID") % 3 == 0, F.lit("1450-02-03")).when(F.col("CaseID") % 3 == 1, F.lit("9999-12-31"))
+    odd["CaseInformation"] = odd["CaseInformation"].withColumn("MaturityDate", days.cast("date"))
+    odd["Loan_TBL"] = odd["Loan_TBL"].withColumn("Purpose", F.lit(None)).withColumn("Currency", F.lit(None))
+    plain = am.build_extract(odd, AS_OF, repeated_cases=False, ordered=False)
+    want = Counter(plain.collect())
+    # two passes over nine histories and the applicants
+    held = sum(odd[name].count() for name in (*HISTORY_DAYS, "Applicant_TBL")) // 2 + 1
+    for told in ({"repeated_cases": False}, {"hot_case_rows": 50}) if ordered else ({"repeated_cases": None},):
+        df = am.build_extract(odd, AS_OF, ordered=ordered, pass_rows=held, **told)
+        assert "parts-" in " ".join(df.inputFiles()) and df.dtypes == plain.dtypes
+        rows = df.collect()
+        assert Counter(rows) == want
+        if ordered:
+            assert [r.ACC_NO for r in rows] == sorted(r.ACC_NO for r in rows)
+
+
+def test_a_failing_rule_fails_a_pass(tables):
+    twice = {**tables, "CaseInformation": tables["CaseInformation"].union(tables["CaseInformation"])}
+    with pytest.raises(Exception, match="more than one row for"):
+        am.build_extract(twice, AS_OF, expect_unique=True, pass_rows=1_000)
+
+
+def test_shuffles_of_a_part_are_given_back(spark):
+    """Only those of the running part are held, however many parts there are."""
+    statuses = spark._jsc.sc().env().mapOutputTracker().shuffleStatuses
+    held = []
+
+    def part(i):
+        time.sleep(2)  # the cleaner runs beside the session
+        held.append(statuses().size())
+        return spark.range(1000).groupBy((F.col("id") % 7 + i).alias("k")).count().repartition(3, "count")
+
+    rows = stored_parts(spark, part, 5)
+    assert rows.count() == 35
+    assert max(held[1:]) <= held[1] + 1, held
+
+
+def test_days_and_flags_are_not_shuffled_as_texts(tables, conf):
+    conf(spark__sql__debug__maxToStringFields="200")
+    plan = am.build_extract(tables, AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    last = next(line for line in plan.split("\n") if "Project" in line)
+    assert last.count("cast(") >= 16 and "THEN Y ELSE N" in last

@@ -87,6 +87,15 @@ def test_cases_taken_in_passes_give_the_same_rows(tables, ordered):
             assert [r.ACC_NO for r in rows] == sorted(r.ACC_NO for r in rows)
 
 
+@pytest.mark.parametrize("options", [{"ci": True}])
+def test_options_hold_in_passes(tables, options):
+    options = {"as_of": AS_OF, **options}
+    whole = Counter(am.build_extract(tables, ordered=False, **options).collect())
+    held = sum(tables[name].count() for name in (*HISTORY_DAYS, "Applicant_TBL")) // 3
+    df = am.build_extract(tables, pass_rows=held, **options)
+    assert "parts-" in " ".join(df.inputFiles()) and Counter(df.collect()) == whole
+
+
 def test_a_failing_rule_fails_a_pass(tables):
     twice = {**tables, "CaseInformation": tables["CaseInformation"].union(tables["CaseInformation"])}
     with pytest.raises(Exception, match="more than one row for"):

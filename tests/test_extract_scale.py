@@ -87,7 +87,7 @@ def test_cases_taken_in_passes_give_the_same_rows(tables, ordered):
             assert [r.ACC_NO for r in rows] == sorted(r.ACC_NO for r in rows)
 
 
-@pytest.mark.parametrize("options", [{"ci": True}, {"as_of": "2000-02-15"}])
+@pytest.mark.parametrize("options", [{"ci": True}, {"as_of": "2000-02-15"}, {"as_of": "1998-09-15", "point_in_time": True}])
 def test_options_hold_in_passes(tables, options):
     options = {"as_of": AS_OF, **options}
     whole = Counter(am.build_extract(tables, ordered=False, **options).collect())

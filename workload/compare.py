@@ -30,6 +30,7 @@ def _value(v):
 
 def differences(df, con, sql: str) -> list[str]:
     """What differs, in words; empty if equal."""
+    con.execute("SET python_scan_all_frames = true")  # views over a caller's own frames
     rel = con.execute(sql)
     names = [d[0] for d in rel.description]
     if sorted(names) != sorted(df.columns):

@@ -1,11 +1,14 @@
 """What keeps the extract within memory, disk and time on large tables."""
 
+import os
 import re
+import subprocess
+import sys
 import time
 from collections import Counter
 
 import pytest
-from conftest import executed_plan
+from conftest import ROOT, executed_plan
 from pyspark.sql import functions as F
 
 import acctmart as am
@@ -117,6 +120,24 @@ def test_shuffles_of_a_part_are_given_back(spark):
     assert max(held[1:]) <= held[1] + 1, held
 
 
+def test_files_of_parts_go_at_the_end_of_the_session(tmp_path):
+    code = f"""
+from pyspark.sql import SparkSession
+from acctmart.operators.stored import stored_parts
+conf = {{"spark.ui.enabled": "false", "spark.checkpoint.dir": "{tmp_path}", "spark.driver.host": "127.0.0.1"}}
+spark = SparkSession.builder.master("local[1]").config(map=conf).getOrCreate()
+print(stored_parts(spark, lambda i: spark.range(i + 1), 2).inputFiles(), flush=True)
+"""
+    env = {k: v for k, v in os.environ.items() if not k.startswith("PYSPARK_GATEWAY")} | {"PYTHONPATH": ROOT}
+    ran = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert "parts-" in ran.stdout, ran.stderr[-2000:]
+    for _ in range(60):  # the JVM ends after Python
+        if not list(tmp_path.rglob("parts-*")):
+            break
+        time.sleep(0.5)
+    assert not list(tmp_path.rglob("parts-*"))
+
+
 def test_days_and_flags_are_not_shuffled_as_texts(tables, conf):
     conf(spark__sql__debug__maxToStringFields="200")
     plan = am.build_extract(tables, AS_OF)._jdf.queryExecution().optimizedPlan().toString()
